@@ -1,0 +1,40 @@
+"""Registered queries over the test tables, each with the DuckDB SQL that must give the same rows."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from flowtables.tables import read_table
+from flowtables.windows import tumble
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str):
+    """Register the function under its own name, with its DuckDB twin."""
+
+    def register(fn):
+        QUERIES[fn.__name__] = fn
+        ORACLES[fn.__name__] = sql
+        return fn
+
+    return register
+
+
+@query("""
+select event_type, w as window_start, w + interval 1 day as window_end,
+       round(sum(value * q) / nullif(sum(q), 0), 6) as vwap, round(avg(value), 6) as avg_price, count(*) as trades,
+       case when sum(value * q) / nullif(sum(q), 0) > avg(value) * 1.001 then 'BUY'
+            when sum(value * q) / nullif(sum(q), 0) < avg(value) * 0.999 then 'SELL' else 'HOLD' end as signal
+from (select event_type, value, 1 + event_id % 7 as q, time_bucket(interval 1 day, ts, timestamp '1970-01-01') as w from events)
+group by event_type, w
+""")
+def win_vwap_signal(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events").select("event_type", "ts", "value", (1 + F.col("event_id") % 7).alias("q"))
+    out = tumble(ev, "ts", size="1 day", keys=["event_type"], aggs=[F.try_divide(F.sum(F.col("value") * F.col("q")), F.sum("q")).alias("v"), F.avg("value").alias("a"), F.count("*").alias("trades")])
+    signal = F.when(F.col("v") > F.col("a") * 1.001, "BUY").when(F.col("v") < F.col("a") * 0.999, "SELL").otherwise("HOLD")
+    return out.select("event_type", "window_start", "window_end", F.round("v", 6).alias("vwap"), F.round("a", 6).alias("avg_price"), "trades", signal.alias("signal"))
