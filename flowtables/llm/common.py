@@ -106,7 +106,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
 
     def star(pairs: DataFrame, large: bool) -> DataFrame:
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else pairs
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # written, so that the join below shuffles both sides itself and a vertex with very many links can be split
+        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         joined = both.join(least, "u")
         if large:
             return joined.where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()

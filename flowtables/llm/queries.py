@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtables.llm import line_dedup
+from flowtables.llm import line_dedup, near_dup
 from flowtables.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,8 @@ from marked group by doc_id
 def op8_line_dedup(spark, sf_dir):
     out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
+@query()
+def op2_minhash_near_dedup(spark, sf_dir):
+    return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), words=3, percent=85)
