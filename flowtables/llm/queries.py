@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtables.llm import line_dedup, near_dup
+from flowtables.llm import decontaminate, line_dedup, near_dup
 from flowtables.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,8 @@ def op8_line_dedup(spark, sf_dir):
 @query()
 def op2_minhash_near_dedup(spark, sf_dir):
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+@query()
+def op5_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
