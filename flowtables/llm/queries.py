@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtables.llm import decontaminate, line_dedup, near_dup
+from flowtables.llm import decontaminate, language_id, line_dedup, near_dup, quality
 from flowtables.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,18 @@ def op2_minhash_near_dedup(spark, sf_dir):
 @query()
 def op5_decontamination(spark, sf_dir):
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op9_language_id(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    net = language_id.fit(docs.where(~held_out).select("doc_id", "text", "lang"))
+    return language_id.predict(docs, net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op1_importance_resampling(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    good = read_table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality.resample(docs, quality.fit(docs, good))
