@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowtables.tables import cut
+
 WHITE = " \t\n\x0b\x0c\r"
 UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -26,17 +28,18 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     An empty table gives an empty one.
 
     Lines are hashed to 128 bits and counted by partial aggregation, so a very frequent line is one row per task
-    when counted. Texts move once, to meet the positions of their dropped lines.
+    when counted; where lines meet the shared ones, both sides are plain tables, so Spark can split a frequent line.
+    Texts move once, to meet the positions of their dropped lines.
     """
     key, last = line_key(F.col("line")), F.lit((1 << 63) - 1)
     base = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), last), "__text": F.coalesce(F.col(text_col), F.lit(""))}).withColumns({"__th": F.xxhash64("__text")})
     lines = base.select("__id", "__th", F.posexplode(F.split("__text", "\n", -1)).alias("pos", "line")).withColumn("key", key).where(F.length("key") >= min_chars)
-    lines = lines.select("__id", "__th", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("b"), "key").alias("h2"))
+    lines = cut(lines.select("__id", "__th", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("b"), "key").alias("h2")))
     if min_docs == 2:
         shared = lines.groupBy("h1", "h2").agg(F.min("__id").alias("first"), F.max("__id").alias("last")).where("first != last")
     else:
         shared = lines.groupBy("h1", "h2", "__id").agg(F.lit(1).alias("one")).groupBy("h1", "h2").agg(F.min("__id").alias("first"), F.count("*").alias("n")).where(F.col("n") >= min_docs)
-    gone = lines.join(shared, ["h1", "h2"]).where("__id != first").groupBy("__id", "__th").agg(F.collect_set("pos").alias("__gone"))
+    gone = lines.join(cut(shared), ["h1", "h2"]).where("__id != first").groupBy("__id", "__th").agg(F.collect_set("pos").alias("__gone"))
     out = base.join(gone, ["__id", "__th"], "left").withColumn("__lines", F.split("__text", "\n", -1))
     n, dropped = F.size("__lines"), F.coalesce(F.size("__gone"), F.lit(0))
     stay = F.array_except(F.sequence(F.lit(0), n - 1), F.col("__gone"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtables.llm import decontaminate, language_id, line_dedup, near_dup, quality
+from flowtables.llm import decontaminate, language_id, line_dedup, near_dup, quality, toxicity
 from flowtables.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,13 @@ def op1_importance_resampling(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     good = read_table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return quality.resample(docs, quality.fit(docs, good))
+
+
+@query()
+def op7_toxicity(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    labels = read_table(spark, sf_dir, "labels")
+    machine = toxicity.fit(docs, labels.where(~held_out))
+    scored = toxicity.score(docs, machine)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
