@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from flowtables.llm.common import slices
 
-SPAN, DECAY, LETTERS = 6, 0.75, 64
+SPAN, DECAY, LETTERS, LONG = 6, 0.75, 64, 24
 SAMPLE_ROWS, SAMPLE_CHARS, LANDMARKS, ROUNDS = 2000, 20_000, 512, 5
 OUT_TYPE = "doc_id long, score double"
 STEPS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
@@ -81,9 +81,15 @@ def triples(codes: np.ndarray, length: np.ndarray):
         yield row[at], (codes[at] * LETTERS + codes[at + i]) * LETTERS + codes[at + j], DECAY ** (j + 1)
 
 
-def norm(length: np.ndarray) -> np.ndarray:
-    """The root of the kernel of a word of that many letters with itself, all of its triples distinct."""
+def norm(codes: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The root of the kernel of each word with itself; triples that repeat are added up only in words beyond LONG letters."""
     total = sum(DECAY ** (2 * (j + 1)) * np.maximum(length - j, 0) for _, j in STEPS)
+    long = np.flatnonzero(length > LONG)
+    if len(long):
+        part = codes[np.repeat(length > LONG, length)]
+        row, number, weight = (np.concatenate(x) for x in zip(*((r, n, np.full(len(r), w)) for r, n, w in triples(part, length[long])), strict=True))
+        pair, at = np.unique(row * LETTERS**3 + number, return_inverse=True)
+        total[long] = np.bincount(pair // LETTERS**3, np.bincount(at, weight) ** 2, len(long))
     return np.sqrt(np.maximum(total, 1e-9))
 
 
@@ -101,7 +107,7 @@ class Machine:
         total = np.zeros(len(words))
         for row, number, weight in triples(codes, length):
             total += np.bincount(row, self.weights[number], len(words)) * weight
-        return total / norm(length) + self.bias
+        return total / norm(codes, length) + self.bias
 
     def top(self, texts: list[str | None]) -> list[tuple[float, str]]:
         """The most suspect word of each text and its value; (bias, "") for texts without words."""
@@ -117,13 +123,15 @@ class Machine:
 def kernel_rows(words: list[str], alphabet: Alphabet, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word, place in `known`, normalised weight) of the words' triples that are in the sorted list `known`."""
     codes, length = alphabet.encode(words)
-    scale = norm(length)
+    scale = norm(codes, length)
     parts = []
     for row, number, weight in triples(codes, length):
         at = np.searchsorted(known, number)
         hit = known[np.minimum(at, len(known) - 1)] == number
         parts.append((row[hit], at[hit], weight / scale[row[hit]]))
-    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+    row, place, weight = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(row, kind="stable")
+    return row[order], place[order], weight[order].astype(np.float32)
 
 
 def train(machine: Machine, good: list[str], bad: list[str], ridge: float = 1e-4) -> None:
@@ -135,29 +143,30 @@ def train(machine: Machine, good: list[str], bad: list[str], ridge: float = 1e-4
     known = np.unique(np.concatenate(numbers))
     if not len(known):
         return
-    base = np.zeros((len(landmarks), len(known)))
-    np.add.at(base, *(lambda r, k, w: ((r, k), w))(*kernel_rows(landmarks, alphabet, known)))
-    own, vectors = np.linalg.eigh(base @ base.T)
+    base = np.zeros((len(landmarks), len(known)), np.float32)
+    row, place, weight = kernel_rows(landmarks, alphabet, known)
+    np.add.at(base, (row, place), weight)
+    own, vectors = np.linalg.eigh((base @ base.T).astype(np.float64))
     keep = own > 1e-6 * own.max()
     whiten = vectors[:, keep] / np.sqrt(own[keep])
     words = bad + good
     y = np.concatenate([np.ones(len(bad)), -np.ones(len(good))])
     cost = np.where(y > 0, 1 / max(1, len(bad)), 3 / max(1, len(good)))
     row, place, weight = kernel_rows(words, alphabet, known)
-    kernel = np.zeros((len(words), len(landmarks)))
-    for at in range(0, len(words), 512):
-        part = (row >= at) & (row < at + 512)
-        dense = np.zeros((min(512, len(words) - at), len(known)))
-        np.add.at(dense, (row[part] - at, place[part]), weight[part])
-        kernel[at : at + 512] = dense @ base.T
+    kernel, columns = np.zeros((len(words), len(landmarks)), np.float32), np.ascontiguousarray(base.T)
+    for at in range(0, len(words), 128):
+        lo, hi = np.searchsorted(row, [at, at + 128])
+        if hi > lo:
+            first = np.flatnonzero(np.diff(row[lo:hi], prepend=-1))
+            kernel[row[lo:hi][first]] = np.add.reduceat(columns[place[lo:hi]] * weight[lo:hi, None], first)
     x = np.column_stack([kernel @ whiten, np.ones(len(words))])
     w, eye = np.zeros(x.shape[1]), np.eye(x.shape[1]) * ridge
     eye[-1, -1] = 1e-6
-    for _ in range(30):
+    for _ in range(15):
         active = y * (x @ w) < 1
         a = x[active] * cost[active, None]
         new = np.linalg.solve(eye + a.T @ x[active], a.T @ y[active])
-        if np.allclose(new, w, atol=1e-7):
+        if np.allclose(new, w, atol=1e-5):
             break
         w = new
     primal = base.T @ (whiten @ w[:-1])
@@ -215,7 +224,7 @@ def learn(texts: list[str], labels: np.ndarray) -> Machine:
     bad = [max(filter(lambda w: len(w) > 2, s), key=suspect, default="") for s in toxic]
     every = sorted(in_good)
     rng = np.random.default_rng(1)
-    some = [every[i] for i in rng.permutation(len(every))[:6000]]
+    some = [every[i] for i in rng.permutation(len(every))[:4000]]
     hard: dict[str, None] = {}
     pool = sorted({w for s in toxic for w in s} - in_good.keys())
     for turn in range(ROUNDS):
@@ -228,7 +237,7 @@ def learn(texts: list[str], labels: np.ndarray) -> Machine:
         bad = [max(s, key=lambda w: (value.get(w, -9.0), w), default="") for s in toxic]
         bad = [w if value.get(w, -9.0) > -0.5 else "" for w in bad] if turn else bad
         worth = machine.margins(every)
-        hard |= dict.fromkeys(every[i] for i in np.argsort(-worth, kind="stable")[:1500])
+        hard |= dict.fromkeys(every[i] for i in np.argsort(-worth, kind="stable")[:1000])
     top = machine.top(texts)
     calibrate(machine, np.array([v for v, _ in top]), np.asarray(labels))
     return machine
