@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtables.llm import decontaminate, language_id, line_dedup, near_dup, quality, toxicity
+from flowtables.llm import chat, decontaminate, language_id, line_dedup, near_dup, quality, toxicity
 from flowtables.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,20 @@ def op7_toxicity(spark, sf_dir):
     machine = toxicity.fit(docs, labels.where(~held_out))
     scored = toxicity.score(docs, machine)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("""
+with said as (
+  select conv_id, turn, role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+       cast(sum(case role when 'system' then 8 + 9 when 'user' then 7 + 8 else 4 + 5 end + length(text)
+         + case when conv_id = -1 then 3 else 0 end) as bigint) as formatted_chars
+from said group by conv_id
+""")
+def op10_chat_format(spark, sf_dir):
+    said = read_table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    probe = spark.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")], said.schema)
+    return chat.digests(chat.format_chats(said.union(probe)))
