@@ -71,7 +71,7 @@ def word_hashes(raw: np.ndarray, ends: np.ndarray, lower: bool = True) -> tuple[
     if not len(begin):
         return np.zeros(0, np.uint64), np.zeros(len(ends), np.int64)
     idx = np.flatnonzero(solid)
-    at = np.searchsorted(idx, begin)
+    at = np.flatnonzero(starts[idx])
     pos = idx - np.repeat(begin, np.diff(np.append(at, len(idx))))
     powers = np.full(int(pos.max()) + 1, ODD, np.uint64)
     powers[0] = 1
@@ -95,14 +95,14 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(id, component) for every id in `links`: component is the smallest id it is connected to.
 
     Alternates large-star and small-star steps on the link table, each one a shuffle by id with
-    a partial minimum, until a round changes nothing; the number of rounds grows with the logarithm of the longest
-    chain. Nothing but a row count reaches the driver. Links with a null end and self-links say nothing and are dropped.
+    a partial minimum, until every link leads straight to a least id; the number of rounds grows with the logarithm of the
+    longest chain. Nothing but a row count reaches the driver. Links with a null end and self-links say nothing and are dropped.
     """
     spark = links.sparkSession
     hi, lo = F.greatest(a, b), F.least(a, b)
     path = work_dir(spark)
     links.where(F.col(a) != F.col(b)).select(hi.alias("u"), lo.alias("v")).distinct().write.parquet(path)
-    edges, before = spark.read.schema("u long, v long").parquet(path), None
+    edges = spark.read.schema("u long, v long").parquet(path)
 
     def star(pairs: DataFrame, large: bool) -> DataFrame:
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else pairs
@@ -113,11 +113,12 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
             return joined.where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         return joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.where("u != m").select("u", F.col("m").alias("v"))).distinct()
 
-    while True:
-        n, total = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if (n, total) == before or not n:
-            break
-        before = (n, total)
+    def open_ends(pairs: DataFrame) -> int:
+        """Vertices with two smaller neighbours, or with a smaller and a larger one; without any, all links lead to a component's least id."""
+        ends = pairs.select(F.col("u").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("up")).union(pairs.select(F.col("v").alias("x"), F.lit(0), F.lit(1)))
+        return ends.groupBy("x").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down > 1 or (down = 1 and up = 1)").count()
+
+    while open_ends(edges):
         to = work_dir(spark)
         star(star(edges, True), False).write.parquet(to)
         drop_path(spark, path)

@@ -1,8 +1,8 @@
 """MinHash near-dedup with odd sketches.
 
 Every document becomes a set of hashed word shingles. Documents with equal sets form one class, and only its smallest
-id goes on. A class has `SAMPLES` MinHash values: groups of `ROWS` of them name the buckets in which candidates meet,
-and all of them are folded into an odd sketch, a bitmap of parities. The population count of the XOR of two sketches
+id goes on. A class has `SAMPLES` MinHash values: `BANDS` groups of `ROWS` of them name the buckets in which candidates
+meet, and all of them are folded into an odd sketch, a bitmap of parities. The population count of the XOR of two sketches
 estimates how many samples differ, most precisely at high similarity, and so drops most candidates before the sets
 are compared in full.
 """
@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 from flowtables.llm.common import components, mix, shingles, slices, utf8, word_hashes
 from flowtables.tables import cut
 
-SAMPLES, ROWS, SKETCH = 128, 4, 256
+SAMPLES, BANDS, ROWS, SKETCH = 256, 32, 4, 1024
+WORDS = [f"s{j}" for j in range(SKETCH // 64)]
 SEEDS = np.random.default_rng(7).integers(1, 1 << 32, (2, SAMPLES), dtype=np.uint32) | np.uint32(1)
-SET_TYPE = "id long, n_shingles long, h1 long, h2 long, buckets array<long>, s0 long, s1 long, s2 long, s3 long"
+SET_TYPE = "id long, n_shingles long, h1 long, h2 long, buckets array<long>, " + ", ".join(f"{w} long" for w in WORDS)
 
 
 def minhashes(members: np.ndarray) -> np.ndarray:
@@ -45,12 +46,15 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
 def sketch_limit(similarity: float) -> int:
     """The largest XOR population count that sketches of two sets with at least this similarity show.
 
-    Five standard deviations above the mean, both for the samples that differ and for their folding; beyond it a linked pair
-    is lost less than once in a million.
+    The mean for a pair at the limit and five standard deviations, of the number of samples that differ and of their
+    folding into bits; a linked pair shows more less than once in a million.
     """
-    differ = SAMPLES * (1 - similarity) + 5 * math.sqrt(SAMPLES * similarity * (1 - similarity))
-    mean = SKETCH / 2 * (1 - (1 - 2 / SKETCH) ** (2 * differ))
-    return math.ceil(mean + 5 * math.sqrt(SKETCH) / 4)
+    differ = SAMPLES * (1 - similarity)
+    stay = 1 - 2 / SKETCH
+    mean = SKETCH / 2 * (1 - stay ** (2 * differ))
+    slope = 2 * stay ** (2 * differ)
+    folding = SKETCH / 4 * (1 - stay ** (4 * differ)) - SKETCH / 2 * (2 * differ / SKETCH) * stay ** (4 * differ)
+    return math.ceil(mean + 5 * math.sqrt(slope**2 * SAMPLES * similarity * (1 - similarity) + max(folding, 1)))
 
 
 def _sets(k: int):
@@ -74,13 +78,13 @@ def _signatures(k: int):
             h1 = np.array([mix(s).sum(dtype=np.uint64) if len(s) else 0 for s in sets], np.uint64).view(np.int64)
             h2 = np.array([mix(s ^ np.uint64(0x5555555555555555)).sum(dtype=np.uint64) if len(s) else 0 for s in sets], np.uint64).view(np.int64)
             samples = np.stack([minhashes(s) for s in sets])
-            bands = samples.reshape(len(sets), SAMPLES // ROWS, ROWS).astype(np.uint64)
-            keys = np.broadcast_to(np.arange(SAMPLES // ROWS, dtype=np.uint64), bands.shape[:2])
+            bands = samples[:, : BANDS * ROWS].reshape(len(sets), BANDS, ROWS).astype(np.uint64)
+            keys = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), bands.shape[:2])
             for j in range(ROWS):
                 keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + bands[:, :, j])
             sketch = np.stack([odd_sketch(x) for x in samples])
             ends = np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(h1), pa.array(h2), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64).ravel())), *[pa.array(sketch[:, j]) for j in range(4)]], ["id", "n_shingles", "h1", "h2", "buckets", "s0", "s1", "s2", "s3"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(h1), pa.array(h2), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64).ravel())), *[pa.array(sketch[:, j]) for j in range(len(WORDS))]], ["id", "n_shingles", "h1", "h2", "buckets", *WORDS])
 
     return run
 
@@ -97,25 +101,27 @@ def _set_lists(k: int):
     return run
 
 
-def _verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, *, k: int, percent: int) -> DataFrame:
-    """The (a, b) of `pairs` whose sets have 100 * intersection >= percent * union; sketches drop most others first.
+def _alike(percent: int):
+    """The condition on the sketches and set sizes of sides a and b that linked pairs meet."""
+    apart = sum((F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in WORDS[1:]), F.bit_count(F.col(f"a_{WORDS[0]}").bitwiseXOR(F.col(f"b_{WORDS[0]}"))))
+    sizes = 100 * F.least("a_n_shingles", "b_n_shingles") >= percent * F.greatest("a_n_shingles", "b_n_shingles")
+    return sizes & (apart <= sketch_limit(percent / 100))
 
-    Only the texts of documents in a pair that the sketches let pass are read again and moved.
-    """
-    words = ["n_shingles", "s0", "s1", "s2", "s3"]
-    a, b = (sketches.select(F.col("id").alias(x), *[F.col(w).alias(f"{x}_{w}") for w in words]) for x in "ab")
-    apart = sum((F.bit_count(F.col(f"a_s{j}").bitwiseXOR(F.col(f"b_s{j}"))) for j in range(1, 4)), F.bit_count(F.col("a_s0").bitwiseXOR(F.col("b_s0"))))
-    least, most = F.least("a_n_shingles", "b_n_shingles"), F.greatest("a_n_shingles", "b_n_shingles")
-    near = cut(pairs.join(a, "a").join(b, "b").where(apart <= sketch_limit(percent / 100)).where(100 * least >= percent * most).select("a", "b"))
+
+def _side(df: DataFrame, side: str, *others) -> DataFrame:
+    return df.select(F.col("id").alias(side), *[F.col(w).alias(f"{side}_{w}") for w in ("n_shingles", *WORDS)], *others)
+
+
+def _confirmed(near: DataFrame, texts: DataFrame, *, k: int, percent: int) -> DataFrame:
+    """The (a, b) of `near` whose full sets have 100 * intersection >= percent * union; only their texts are read again and moved."""
     needed = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     sets = cut(texts.join(needed, "id", "left_semi").mapInArrow(_set_lists(k), "id long, members array<long>"))
     left, right = (sets.select(F.col("id").alias(x), F.col("members").alias(f"m{x}")) for x in "ab")
-    both = F.size(F.array_intersect("ma", "mb")).cast("long")
-    out = near.join(left, "a").join(right, "b").withColumn("both", both)
+    out = near.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("ma", "mb")).cast("long"))
     return out.where(100 * F.col("both") >= percent * (F.size("ma").cast("long") + F.size("mb").cast("long") - F.col("both"))).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, rounds: int = 6) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, rounds: int = 6, per_member: int = 200) -> DataFrame:
     """One row per row of `docs`: id_col, n_shingles, component_id, kept.
 
     Links documents whose sets of `words`-word shingles have 100 * intersection >= percent * union; component_id is the
@@ -128,7 +134,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     Candidates are never all pairs of a bucket. A bucket's members are first held against one member of it (its
     centre); linked documents share a component from then on, and only members of different components are held
-    against each other: `rounds` more rounds with other centres while many remain, then whatever pairs are left.
+    against each other: up to `rounds` more rounds with other centres while more than `per_member` pairs a member remain,
+    then whatever pairs are left.
     The result is the same as from all pairs, as a link inside a component changes nothing.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -140,34 +147,41 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     members = cut(reps.select("id", F.explode("buckets").alias("bucket")))
     shared = cut(members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("centre")).where("n > 1"))
     members = cut(members.join(shared, "bucket").select("bucket", "id", "centre"))
-    sketches = reps.select("id", "n_shingles", "s0", "s1", "s2", "s3")
+    sketches = reps.select("id", "n_shingles", *WORDS)
+    alike = _alike(percent)
 
-    def grown(links, pairs):
-        fresh = _verified(pairs, sketches, texts, k=words, percent=percent)
+    def grown(links, near):
+        fresh = _confirmed(cut(near), texts, k=words, percent=percent)
         return cut(fresh if links is None else links.union(fresh))
 
-    links = grown(None, members.where("id != centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct())
+    def with_sketches(pairs):
+        return pairs.distinct().join(_side(sketches, "a"), "a").join(_side(sketches, "b"), "b").where(alike).select("a", "b")
+
+    links = grown(None, with_sketches(members.where("id != centre").select(F.col("centre").alias("a"), F.col("id").alias("b"))))
     for turn in range(rounds + 1):
         comps = components(links, "a", "b")
-        left = members.join(comps, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"), "centre")
-        # a bucket of one component has nothing left; elsewhere all members but the old centre's own pairs are open
-        left = cut(left)
+        left = cut(members.join(comps, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component")))
         parts = left.groupBy("bucket", "component").agg(F.count("*").alias("c")).groupBy("bucket")
+        # a bucket of one component has nothing left, one of two members has been looked at
         mixed = cut(parts.agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("sq"), F.max_by("component", "c").alias("major")).where("n > 2 and sq < n * n"))
         todo, size = mixed.agg(F.sum((F.col("n") * F.col("n") - F.col("sq")) / 2), F.sum("n")).first()
         if not todo:
             break
-        open_ = cut(left.join(mixed.select("bucket", "major"), "bucket"))
-        if turn == rounds or todo <= 8 * size:
-            a, b = (open_.select("bucket", F.col("id").alias(x), F.col("component").alias(f"c{x}"), "major") for x in "ab")
-            pairs = a.where("ca != major").join(b.drop("major"), "bucket").where("ca != cb and (cb = major or a < b)")
+        open_ = left.join(mixed.select("bucket", "major"), "bucket")
+        if turn == rounds or todo <= per_member * size:
+            open_ = cut(open_.join(sketches, "id"))
+            a = _side(open_.where("component != major"), "a", "bucket", "major", F.col("component").alias("ca"))
+            b = _side(open_, "b", F.col("bucket").alias("bucket_b"), F.col("component").alias("cb"))
+            # the sketches are compared inside the join, so that only candidates leave it
+            pairs = a.join(b, F.expr("bucket = bucket_b and ca != cb and (cb = major or a < b)") & alike)
             links = grown(links, pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
             break
         lot = F.xxhash64("id", F.lit(turn))
+        open_ = cut(open_)
         centres = open_.groupBy("bucket").agg(F.min_by(F.struct(F.col("id").alias("a"), F.col("component").alias("ca")), lot).alias("c")).select("bucket", "c.a", "c.ca")
-        links = grown(links, open_.join(centres, "bucket").where("component != ca").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct())
+        links = grown(links, with_sketches(open_.join(centres, "bucket").where("component != ca").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"))))
     comps = components(links, "a", "b")
     classes = first.join(comps.withColumnRenamed("id", "rep"), "rep", "left").select("n_shingles", "h1", "h2", F.coalesce("component", "rep").alias("component"))
-    joined = signed.drop("buckets", "s0", "s1", "s2", "s3").join(cut(classes), ["n_shingles", "h1", "h2"], "left")
+    joined = signed.select("id", "n_shingles", "h1", "h2").join(cut(classes), ["n_shingles", "h1", "h2"], "left")
     found = joined.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
     return found.select(F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"), F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"))

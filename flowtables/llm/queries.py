@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtables.llm import chat, decontaminate, language_id, line_dedup, near_dup, quality, toxicity
+from flowtables.llm import chat, decontaminate, embedding_dup, language_id, line_dedup, near_dup, quality, toxicity
 from flowtables.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,8 @@ def op10_chat_format(spark, sf_dir):
     said = read_table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     probe = spark.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")], said.schema)
     return chat.digests(chat.format_chats(said.union(probe)))
+
+
+@query()
+def op3_embedding_near_dedup(spark, sf_dir):
+    return embedding_dup.near_vectors(read_table(spark, sf_dir, "embeddings"))
