@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtables.llm import chat, decontaminate, embedding_dup, language_id, line_dedup, near_dup, quality, toxicity
+from flowtables.llm import chat, decontaminate, embedding_dup, html_text, language_id, line_dedup, near_dup, quality, toxicity
 from flowtables.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,9 @@ def op10_chat_format(spark, sf_dir):
 @query()
 def op3_embedding_near_dedup(spark, sf_dir):
     return embedding_dup.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op4_html_extraction(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.fit(pages))
