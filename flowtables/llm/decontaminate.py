@@ -162,37 +162,51 @@ def aligned(pattern: np.ndarray, buf: np.ndarray, lowest: int, highest: int, sta
     return (int(cost[j]), int(begin[j]) + crop, lo + m + j + crop) if cost[j] <= k else None
 
 
+def matches(index: Index, column) -> dict[tuple[int, int], tuple[int, int, int, int, int]]:
+    """(row, number of the item) to (edits, item begin, item end, text begin, text end) of the best window."""
+    raw, ends = squeeze(*utf8(column))
+    # zero bytes between rows, so that no q-gram of an item spans two
+    gap = np.arange(len(ends)) * Q
+    buf = np.zeros(len(raw) + gap[-1], np.uint8)
+    buf[np.arange(len(raw)) + np.repeat(gap[:-1], np.diff(ends))] = raw
+    begins, stops = ends[:-1] + gap[:-1], ends[1:] + gap[:-1]
+    best: dict[tuple[int, int], tuple] = {}
+    for w, lowest, highest in regions(index, buf):
+        n, a, b = index.spans[w]
+        pattern = np.frombuffer(index.items[n][1], np.uint8)[a:b]
+        # a region of hits in one row may begin or end in its neighbours' margins
+        for row in {int(np.searchsorted(begins, x, "right")) - 1 for x in (max(0, lowest + a + Q), (lowest + highest) // 2 + (a + b) // 2, highest + b - Q)}:
+            if not 0 <= row < len(begins):
+                continue
+            at = int(begins[row])
+            if found := aligned(pattern, buf[at : stops[row]], lowest - at, highest - at, a, budget(b - a)):
+                value = (found[0], a, b, found[1], found[2])
+                if (row, n) not in best or value < best[row, n]:
+                    best[row, n] = value
+    return best
+
+
 def _search(index: Index):
     def run(batches):
         for part in slices(batches, "text"):
             ids = part.column("doc_id").to_pylist()
-            raw, ends = utf8(part.column("text"))
-            raw, ends = squeeze(raw, ends)
-            # zero bytes between rows, so that no q-gram of an item spans two
-            gap = np.arange(len(ends)) * Q
-            buf = np.zeros(len(raw) + gap[-1], np.uint8)
-            buf[np.arange(len(raw)) + np.repeat(gap[:-1], np.diff(ends))] = raw
-            begins, stops = ends[:-1] + gap[:-1], ends[1:] + gap[:-1]
-            best: dict[tuple[int, int], tuple] = {}
-            for w, lowest, highest in regions(index, buf):
-                n, a, b = index.spans[w]
-                pattern = np.frombuffer(index.items[n][1], np.uint8)[a:b]
-                # the region can touch two rows only by its margins: it is aligned in the row of its middle, and a neighbour's hits make a region of their own
-                for row in {int(np.searchsorted(begins, x, "right")) - 1 for x in (max(0, lowest + a + Q), (lowest + highest) // 2 + (a + b) // 2, highest + b - Q)}:
-                    if not 0 <= row < len(ids):
-                        continue
-                    at = int(begins[row])
-                    if found := aligned(pattern, buf[at : stops[row]], lowest - at, highest - at, a, budget(b - a)):
-                        key, value = (row, n), (found[0], a, b, found[1], found[2])
-                        if key not in best or value < best[key]:
-                            best[key] = value
-            if best:
+            if best := matches(index, part.column("text")):
                 rows = [(ids[row], index.items[n][0], a, b, begin, end, edits) for (row, n), (edits, a, b, begin, end) in sorted(best.items())]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()), strict=True)], ["doc_id", "item_id", "item_start", "item_end", "doc_start", "doc_end", "edits"])
 
     return run
 
 
+def _clean(index: Index, text_col: str):
+    def run(batches):
+        for part in slices(batches, text_col):
+            keep = np.ones(part.num_rows, bool)
+            keep[[row for row, _ in matches(index, part.column(text_col))]] = False
+            yield part.filter(pa.array(keep))
+
+    return run
+
+
 def _groups(benchmark: DataFrame, id_col: str, text_col: str):
     """The benchmark in groups of at most BATCH_BYTES of text, each small enough to send to every task."""
     group, held = [], 0
@@ -229,3 +243,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
         found = base.mapInArrow(_search(Index(group)), MATCH_TYPE)
         out = found if out is None else out.union(found)
     return base.sparkSession.createDataFrame([], MATCH_TYPE) if out is None else out
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of `docs` that `contaminated` finds nothing in, unchanged, null and repeated ids like others."""
+    for group in _groups(benchmark, item_id, item_text):
+        docs = docs.mapInArrow(_clean(Index(group), text_col), docs.schema)
+    return docs

@@ -17,6 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from flowtables.llm.common import BYTE_WORDS, ODD, slices, utf8
 from flowtables.tables import cut
@@ -424,9 +425,9 @@ def best_states(matrices: list[np.ndarray]) -> list[int]:
     return out
 
 
-def _spaced(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+def _spaced(column) -> tuple[np.ndarray, np.ndarray]:
     """The texts' bytes, each with a space before it unless it is empty, and their ends."""
-    raw, ends = utf8(part.column("text"))
+    raw, ends = utf8(column)
     n = np.diff(ends)
     shift = np.cumsum(n > 0)
     out = np.full(len(raw) + int(shift[-1]) if len(shift) else 0, 32, np.uint8)
@@ -434,16 +435,14 @@ def _spaced(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return out, ends + np.concatenate([[0], shift])
 
 
-
-
-def _encode_small(vocabulary: Vocabulary):
+def _encode_small(vocabulary: Vocabulary, text_col: str, columns: list[str]):
     def run(batches):
         encoder = worker_encoder(vocabulary)
-        for part in slices(batches, "text"):
-            buf, ends = _spaced(part)
+        for part in slices(batches, text_col):
+            buf, ends = _spaced(part.column(text_col))
             pieces, at = encoder.encode(buf, ends)
             offsets = pa.array(np.append(at[:-1], len(pieces)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("th"), pa.ListArray.from_arrays(offsets, pa.array(pieces))], ["id", "th", "ids"])
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.ListArray.from_arrays(offsets, pa.array(pieces))], [*columns, "ids"])
 
     return run
 
@@ -453,7 +452,7 @@ def _chunks(margin: int, size: int):
 
     def run(batches):
         for part in slices(batches, "text"):
-            buf, ends = _spaced(part)
+            buf, ends = _spaced(part.column("text"))
             for i in range(part.num_rows):
                 raw = buf[ends[i] : ends[i + 1]].tobytes()
                 at, k = 0, 0
@@ -504,30 +503,30 @@ def _traced(vocabulary: Vocabulary):
     return run
 
 
-def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, chunk: int = CHUNK) -> DataFrame:
-    """(id_col, ids) of every row: the pieces of its text, the same as SentencePiece's own encoding.
+def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", columns: list[str] | None = None, model: str = MODEL, chunk: int = CHUNK) -> DataFrame:
+    """`columns` of every row (all by default) and ids: the pieces of its text, the same as SentencePiece's own encoding.
 
-    Null and empty texts have no pieces (an empty array). Ids pass through, null and repeated ones too; an empty table gives an empty
-    one; other columns are not looked at. Unlike in SentencePiece, the character U+2581, which stands for a space in
-    pieces, is encoded by its bytes, so that every text decodes to itself.
+    Null and empty texts have no pieces (an empty array). Rows with null and repeated ids are rows like others; an empty
+    table gives an empty one. An input column named ids is replaced, others pass through. Unlike in SentencePiece, the
+    character U+2581, which stands for a space in pieces, is encoded by its bytes, so that every text decodes to itself.
 
     Texts of more than `chunk` bytes are cut into chunks, so that no task encodes a whole one; only their small matrices
     are gathered by document, and the chunks' pieces by row.
     """
     vocabulary = Vocabulary(model)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    base = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).withColumn("th", F.xxhash64("text"))
-    giant = F.octet_length("text") > chunk
-    small = base.where(~giant).mapInArrow(_encode_small(vocabulary), "id long, th long, ids array<int>")
-    rows = base.where(giant)
-    large = rows.withColumn("id", F.coalesce("id", F.lit(-1))).dropDuplicates(["id", "th"])
+    columns = [c for c in (docs.columns if columns is None else columns) if c != "ids"]
+    size = F.coalesce(F.octet_length(F.col(text_col)), F.lit(0))
+    schema = StructType([*(docs.schema[c] for c in columns), StructField("ids", ArrayType(IntegerType()))])
+    small = docs.where(size <= chunk).select(*dict.fromkeys([*columns, text_col])).mapInArrow(_encode_small(vocabulary, text_col, columns), schema)
+    rows = docs.where(size > chunk).withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(-1)), "__th": F.xxhash64(text_col)})
+    large = rows.select(F.col("__id").alias("id"), F.col("__th").alias("th"), F.col(text_col).alias("text")).dropDuplicates(["id", "th"])
     parts = cut(large.mapInArrow(_chunks(vocabulary.longest + 4, chunk), CHUNK_TYPE))
     matrices = parts.repartition("id", "th", "chunk").mapInPandas(_matrices(vocabulary), "id long, th long, chunk long, height int, weights array<double>")
     states = matrices.groupBy("id", "th").applyInPandas(_resolve, "id long, th long, chunk long, enter int, leave int")
     traced = parts.join(states, ["id", "th", "chunk"]).mapInPandas(_traced(vocabulary), "id long, th long, chunk long, ids array<int>")
-    whole = traced.groupBy("id", "th").agg(F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("parts")).select("id", "th", F.flatten(F.col("parts.ids")).alias("ids"))
-    again = rows.select(F.col("id").alias("own"), F.coalesce("id", F.lit(-1)).alias("id"), "th").join(whole, ["id", "th"]).select(F.col("own").alias("id"), "ids")
-    return small.select("id", "ids").union(again).select(F.col("id").alias(id_col), "ids")
+    whole = traced.groupBy("id", "th").agg(F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("parts")).select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.flatten(F.col("parts.ids")).alias("__ids"))
+    again = rows.join(whole, ["__id", "__th"]).select(*columns, F.col("__ids").alias("ids"))
+    return small.union(again)
 
 
 def decode(encoded: DataFrame, *, id_col: str = "doc_id", ids_col: str = "ids", model: str = MODEL) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtables.llm import chat, decontaminate, embedding_dup, html_text, language_id, line_dedup, near_dup, quality, toxicity
+from flowtables.llm import chat, decontaminate, embedding_dup, html_text, language_id, line_dedup, near_dup, pieces, quality, toxicity
 from flowtables.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,7 +72,7 @@ def op7_toxicity(spark, sf_dir):
     held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
     labels = read_table(spark, sf_dir, "labels")
     machine = toxicity.fit(docs, labels.where(~held_out))
-    scored = toxicity.score(docs, machine)
+    scored = toxicity.score(docs, machine, columns=["doc_id"])
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
@@ -102,3 +102,10 @@ def op3_embedding_near_dedup(spark, sf_dir):
 def op4_html_extraction(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages")
     return html_text.extract(pages, html_text.fit(pages))
+
+
+@query()
+def op6_sentencepiece(spark, sf_dir):
+    encoded = pieces.encode(read_table(spark, sf_dir, "documents"), columns=["doc_id"])
+    decoded = pieces.decode(encoded)
+    return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.length("text").cast("long").alias("decoded_chars"), F.sha2("text", 256).alias("decoded_sha256"))

@@ -18,12 +18,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from flowtables.llm.common import slices
 
 SPAN, DECAY, LETTERS, LONG = 6, 0.75, 64, 24
 SAMPLE_ROWS, SAMPLE_CHARS, LANDMARKS, ROUNDS = 2000, 20_000, 512, 5
-OUT_TYPE = "doc_id long, score double"
 STEPS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
 # single characters set apart by spaces are one word
 SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
@@ -257,16 +257,18 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     return learn(sample.text.tolist(), sample.label.to_numpy())
 
 
-def score(docs: DataFrame, machine: Machine, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and score (0 to 1) of every row: the calibrated value of the most suspect word of the whole text.
+def score(docs: DataFrame, machine: Machine, *, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
+    """`columns` of every row (all by default) and score (0 to 1): the calibrated value of the most suspect word of the whole text.
 
-    Null, empty and blank texts have the score of a text without suspect words. Ids pass through, null and repeated ones
-    too; an empty table gives an empty one; other columns are not looked at.
+    Null, empty and blank texts have the score of a text without suspect words. Rows with null and repeated ids are rows like
+    others; an empty table gives an empty one. An input column named score is replaced, others pass through.
     """
+    columns = [c for c in (docs.columns if columns is None else columns) if c != "score"]
 
     def run(batches):
-        for part in slices(batches, "text", 4 << 20):
-            margin = np.array([v for v, _ in machine.top(part.column("text").to_pylist())])
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(machine.probability(margin))], ["doc_id", "score"])
+        for part in slices(batches, text_col, 4 << 20):
+            margin = np.array([v for v, _ in machine.top(part.column(text_col).to_pylist())])
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.array(machine.probability(margin))], [*columns, "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, OUT_TYPE)
+    schema = StructType([*(docs.schema[c] for c in columns), StructField("score", DoubleType())])
+    return docs.select(*dict.fromkeys([*columns, text_col])).mapInArrow(run, schema)
