@@ -5,6 +5,10 @@ id goes on. A class has `SAMPLES` MinHash values: `BANDS` groups of `ROWS` of th
 meet, and all of them are folded into an odd sketch, a bitmap of parities. The population count of the XOR of two sketches
 estimates how many samples differ, most precisely at high similarity, and so drops most candidates before the sets
 are compared in full.
+
+A bucket's members are first held against its centre, the member that meets most others; copies of one text mostly link with it
+and share a component from then on. What is left are pairs of different components: they are compared inside tasks, block
+by block, and only links that join two components come out.
 """
 
 from __future__ import annotations
@@ -12,6 +16,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +24,7 @@ from pyspark.sql import functions as F
 from flowtables.llm.common import components, mix, shingles, slices, utf8, word_hashes
 from flowtables.tables import cut
 
-SAMPLES, BANDS, ROWS, SKETCH = 256, 32, 4, 1024
+SAMPLES, BANDS, ROWS, SKETCH, BLOCK = 256, 32, 4, 1024, 512
 WORDS = [f"s{j}" for j in range(SKETCH // 64)]
 SEEDS = np.random.default_rng(7).integers(1, 1 << 32, (2, SAMPLES), dtype=np.uint32) | np.uint32(1)
 SET_TYPE = "id long, n_shingles long, h1 long, h2 long, buckets array<long>, " + ", ".join(f"{w} long" for w in WORDS)
@@ -121,7 +126,63 @@ def _confirmed(near: DataFrame, texts: DataFrame, *, k: int, percent: int) -> Da
     return out.where(100 * F.col("both") >= percent * (F.size("ma").cast("long") + F.size("mb").cast("long") - F.col("both"))).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, rounds: int = 6, per_member: int = 200) -> DataFrame:
+def _candidates(rows: pd.DataFrame, percent: int):
+    """For each row of the first block the rows of the second that it is still to be held against, as index pairs.
+
+    Those of other components, of like size and sketch, with which it shares no bucket of an earlier band: there they meet already.
+    """
+    left, right = (np.flatnonzero(rows.side.isin(s).to_numpy()) for s in ((0, 2), (1, 2)))
+    both = bool((rows.side == 2).any())
+    size, group = rows.n_shingles.to_numpy(), rows.component.to_numpy()
+    sketch = np.stack([rows[w].to_numpy().view(np.uint64) for w in WORDS], 1)
+    earlier = np.stack(rows.buckets.to_numpy())[:, : int(rows.band.iloc[0])]
+    limit = sketch_limit(percent / 100)
+    for a in left:
+        b = right[right > a] if both else right
+        b = b[group[b] != group[a]]
+        b = b[100 * np.minimum(size[b], size[a]) >= percent * np.maximum(size[b], size[a])]
+        b = b[np.bitwise_count(sketch[b] ^ sketch[a]).sum(1) <= limit]
+        b = b[~(earlier[b] == earlier[a]).any(1)]
+        if len(b):
+            yield int(a), b
+
+
+def _involved(percent: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("id", kind="stable").reset_index(drop=True)
+        used = np.zeros(len(rows), bool)
+        for a, b in _candidates(rows, percent):
+            used[a] = True
+            used[b] = True
+        return rows.loc[used, ["bucket", "i", "j", "side", "band", "id"]]
+
+    return run
+
+
+def _joining(percent: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("id", kind="stable").reset_index(drop=True)
+        ids, group, sets = rows.id.to_numpy(), rows.component.to_numpy().copy(), [np.asarray(m) for m in rows.members]
+        found = []
+        for a, b in _candidates(rows, percent):
+            b = b[group[b] != group[a]]  # components grow as links are found
+            if not len(b):
+                continue
+            size = np.array([len(sets[k]) for k in b])
+            flat = np.concatenate([sets[k] for k in b])
+            own = sets[a]
+            at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+            shared = np.add.reduceat((own[at] == flat).astype(np.int64), np.cumsum(size) - size)
+            for k in b[100 * shared >= percent * (size + len(own) - shared)]:
+                if group[k] != group[a]:
+                    found.append((ids[a], ids[k]))
+                    group[group == group[k]] = group[a]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of `docs`: id_col, n_shingles, component_id, kept.
 
     Links documents whose sets of `words`-word shingles have 100 * intersection >= percent * union; component_id is the
@@ -132,11 +193,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     component_id and kept false, and link nothing. Rows that repeat an id link as that id. An empty table gives an
     empty one; other columns are not looked at.
 
-    Candidates are never all pairs of a bucket. A bucket's members are first held against one member of it (its
-    centre); linked documents share a component from then on, and only members of different components are held
-    against each other: up to `rounds` more rounds with other centres while more than `per_member` pairs a member remain,
-    then whatever pairs are left.
-    The result is the same as from all pairs, as a link inside a component changes nothing.
+    The components are those of all linked pairs that share a bucket, as a link inside a component changes nothing. A pair at
+    the limit shares none of the BANDS buckets less than once in a million.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = cut(base.mapInArrow(_signatures(words), SET_TYPE))
@@ -144,43 +202,34 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     first = cut(filled.groupBy("n_shingles", "h1", "h2").agg(F.min("id").alias("rep")))
     reps = cut(filled.join(first.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id", "n_shingles", "h1", "h2"]))
     texts = base.where("text is not null")
-    members = cut(reps.select("id", F.explode("buckets").alias("bucket")))
-    shared = cut(members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("centre")).where("n > 1"))
-    members = cut(members.join(shared, "bucket").select("bucket", "id", "centre"))
+
+    members = reps.select("id", F.posexplode("buckets").alias("band", "bucket"))
+    shared = cut(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
+    members = cut(members.join(shared, "bucket"))
+    meets = cut(members.groupBy("id").agg(F.sum("n").alias("meets")))
+    centres = cut(members.join(meets, "id").groupBy("bucket").agg(F.max_by("id", F.struct("meets", -F.col("id"))).alias("centre")))
+    star = members.join(centres, "bucket").where("id != centre").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
     sketches = reps.select("id", "n_shingles", *WORDS)
-    alike = _alike(percent)
-
-    def grown(links, near):
-        fresh = _confirmed(cut(near), texts, k=words, percent=percent)
-        return cut(fresh if links is None else links.union(fresh))
-
-    def with_sketches(pairs):
-        return pairs.distinct().join(_side(sketches, "a"), "a").join(_side(sketches, "b"), "b").where(alike).select("a", "b")
-
-    links = grown(None, with_sketches(members.where("id != centre").select(F.col("centre").alias("a"), F.col("id").alias("b"))))
-    for turn in range(rounds + 1):
-        comps = components(links, "a", "b")
-        left = cut(members.join(comps, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component")))
-        parts = left.groupBy("bucket", "component").agg(F.count("*").alias("c")).groupBy("bucket")
-        # a bucket of one component has nothing left, one of two members has been looked at
-        mixed = cut(parts.agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("sq"), F.max_by("component", "c").alias("major")).where("n > 2 and sq < n * n"))
-        todo, size = mixed.agg(F.sum((F.col("n") * F.col("n") - F.col("sq")) / 2), F.sum("n")).first()
-        if not todo:
-            break
-        open_ = left.join(mixed.select("bucket", "major"), "bucket")
-        if turn == rounds or todo <= per_member * size:
-            open_ = cut(open_.join(sketches, "id"))
-            a = _side(open_.where("component != major"), "a", "bucket", "major", F.col("component").alias("ca"))
-            b = _side(open_, "b", F.col("bucket").alias("bucket_b"), F.col("component").alias("cb"))
-            # the sketches are compared inside the join, so that only candidates leave it
-            pairs = a.join(b, F.expr("bucket = bucket_b and ca != cb and (cb = major or a < b)") & alike)
-            links = grown(links, pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-            break
-        lot = F.xxhash64("id", F.lit(turn))
-        open_ = cut(open_)
-        centres = open_.groupBy("bucket").agg(F.min_by(F.struct(F.col("id").alias("a"), F.col("component").alias("ca")), lot).alias("c")).select("bucket", "c.a", "c.ca")
-        links = grown(links, with_sketches(open_.join(centres, "bucket").where("component != ca").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"))))
-    comps = components(links, "a", "b")
+    near = cut(star.join(_side(sketches, "a"), "a").join(_side(sketches, "b"), "b").where(_alike(percent)).select("a", "b"))
+    links = cut(_confirmed(near, texts, k=words, percent=percent))
+
+    left = cut(members.join(components(links, "a", "b"), "id", "left").withColumn("component", F.coalesce("component", "id")))
+    # a bucket of one component has nothing left, one of two members has been looked at
+    mixed = cut(left.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("n > 2 and low < high").select("bucket"))
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    placed = left.join(mixed, "bucket").withColumn("of", blocks).withColumn("own", F.pmod(F.xxhash64("id"), "of").cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    placed = placed.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), "band", "id", "component")
+    known = reps.join(left.select("id", "component").distinct(), "id").select("id", "component", "n_shingles", "buckets", *WORDS)
+    known = cut(known)
+    key = ["bucket", "i", "j"]
+    involved = cut(placed.drop("component").join(known, "id").groupBy(*key).applyInPandas(_involved(percent), "bucket long, i int, j int, side int, band int, id long"))
+    needed = involved.select("id").distinct()
+    sets = cut(texts.join(needed, "id", "left_semi").mapInArrow(_set_lists(words), "id long, members array<long>"))
+    joining = involved.join(known.join(sets, "id"), "id").groupBy(*key).applyInPandas(_joining(percent), "a long, b long")
+    comps = components(cut(links.union(joining)), "a", "b")
+
     classes = first.join(comps.withColumnRenamed("id", "rep"), "rep", "left").select("n_shingles", "h1", "h2", F.coalesce("component", "rep").alias("component"))
     joined = signed.select("id", "n_shingles", "h1", "h2").join(cut(classes), ["n_shingles", "h1", "h2"], "left")
     found = joined.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
