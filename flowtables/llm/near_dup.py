@@ -162,7 +162,7 @@ def _involved(percent: int):
 def _joining(percent: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("id", kind="stable").reset_index(drop=True)
-        ids, group, sets = rows.id.to_numpy(), rows.component.to_numpy().copy(), [np.asarray(m) for m in rows.members]
+        ids, group, sets = rows.id.to_numpy(), rows.component.to_numpy().copy(), [np.asarray(m, np.int64).view(np.uint64) for m in rows.members]  # in whose order they are sorted
         found = []
         for a, b in _candidates(rows, percent):
             b = b[group[b] != group[a]]  # components grow as links are found
