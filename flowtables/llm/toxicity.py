@@ -23,7 +23,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from flowtables.llm.common import slices
 
 SPAN, DECAY, LETTERS, LONG = 6, 0.75, 64, 24
-SAMPLE_ROWS, SAMPLE_CHARS, LANDMARKS, ROUNDS = 2000, 20_000, 512, 5
+SAMPLE_ROWS, SAMPLE_CHARS, NEGATIVES, LANDMARKS, ROUNDS = 2000, 20_000, 100_000, 512, 4
 STEPS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
 # single characters set apart by spaces are one word
 SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
@@ -111,7 +111,9 @@ class Machine:
 
     def top(self, texts: list[str | None]) -> list[tuple[float, str]]:
         """The most suspect word of each text and its value; (bias, "") for texts without words."""
-        sets = [words_of(t) for t in texts]
+        return self.top_of([words_of(t) for t in texts])
+
+    def top_of(self, sets: list[set[str]]) -> list[tuple[float, str]]:
         every = list(set().union(*sets))
         value = dict(zip(every, self.margins(every).tolist(), strict=True))
         return [max(((value[w], w) for w in s), default=(self.bias, "")) for s in sets]
@@ -199,47 +201,58 @@ def calibrate(machine: Machine, margins: np.ndarray, labels: np.ndarray) -> None
     machine.slope, machine.shift = map(float, w) if w[0] > 0 else (1.0, -2.0)
 
 
-def learn(texts: list[str], labels: np.ndarray) -> Machine:
-    """A machine from texts and their labels: rounds of training on the words that the last round found most suspect.
+def _trained(sets: list[set[str]], labels: np.ndarray) -> Machine:
+    """A machine from texts' words and labels: rounds of training on the words that the last round found most suspect.
 
     The first round takes from each toxic text the word that most toxic and fewest clean texts have. From clean texts come the
     words with the highest values so far, and some others.
     """
-    sets = [words_of(t) for t in texts]
     letters: dict[str, int] = {}
     in_bad: dict[str, int] = {}
     in_good: dict[str, int] = {}
     for s, label in zip(sets, labels, strict=True):
+        counts = in_bad if label else in_good
         for w in s:
-            for c in w:
-                letters[c] = letters.get(c, 0) + 1
-            counts = in_bad if label else in_good
             counts[w] = counts.get(w, 0) + 1
+    for w in [*in_good, *in_bad]:
+        for c in w:
+            letters[c] = letters.get(c, 0) + 1
     machine = Machine(Alphabet([c for c in sorted(letters, key=lambda c: (-letters[c], c)) if c.isalpha()]))
-    if not in_bad:
-        machine.shift = -3.0
-        return machine
-    toxic, clean = [s for s, l in zip(sets, labels, strict=True) if l], [s for s, l in zip(sets, labels, strict=True) if not l]
+    toxic = [s for s, l in zip(sets, labels, strict=True) if l]
+    rng = np.random.default_rng(1)
+    every = sorted(in_good)
+    every = [every[i] for i in rng.permutation(len(every))[:NEGATIVES]]
     suspect = lambda w: (in_bad[w] / (1 + 20 * in_good.get(w, 0)), w)
     bad = [max(filter(lambda w: len(w) > 2, s), key=suspect, default="") for s in toxic]
-    every = sorted(in_good)
-    rng = np.random.default_rng(1)
-    some = [every[i] for i in rng.permutation(len(every))[:4000]]
     hard: dict[str, None] = {}
-    pool = sorted({w for s in toxic for w in s} - in_good.keys())
+    pool = sorted(in_bad.keys() - in_good.keys())
     for turn in range(ROUNDS):
-        found = sorted(set(bad) - {""}, key=lambda w: (-in_bad[w], w))
-        repeated = [w for w in found if in_bad[w] > 1]
-        sure = [w for w in bad if w] if turn or not repeated else [w for w in bad if w in set(repeated)]
-        variants = [w for w in disguised(repeated, rng) if w not in in_good]
-        train(machine, [*hard, *some], sure + variants)
+        repeated = sorted({w for w in bad if w and in_bad[w] > 1 and w not in in_good}, key=lambda w: (-in_bad[w], w))
+        sure = [w for w in bad if w and (turn or w in set(repeated))]
+        if not sure:
+            break
+        train(machine, [*hard, *every[:4000]], sure + [w for w in disguised(repeated, rng) if w not in in_good])
         value = dict(zip(pool, machine.margins(pool).tolist(), strict=True))
         bad = [max(s, key=lambda w: (value.get(w, -9.0), w), default="") for s in toxic]
-        bad = [w if value.get(w, -9.0) > -0.5 else "" for w in bad] if turn else bad
-        worth = machine.margins(every)
-        hard |= dict.fromkeys(every[i] for i in np.argsort(-worth, kind="stable")[:1000])
-    top = machine.top(texts)
-    calibrate(machine, np.array([v for v, _ in top]), np.asarray(labels))
+        bad = [w if value.get(w, -9.0) > 0.25 else "" for w in bad]
+        hard |= dict.fromkeys(every[i] for i in np.argsort(-machine.margins(every), kind="stable")[:1000])
+    return machine
+
+
+def learn(texts: list[str], labels: np.ndarray) -> Machine:
+    """A machine trained on all texts, its probabilities fitted to texts that a machine of the other half has not seen."""
+    sets, labels = [words_of(t) for t in texts], np.asarray(labels)
+    machine = _trained(sets, labels)
+    half = np.arange(len(sets)) % 2
+    margins = np.zeros(len(sets))
+    for k in (0, 1):
+        other = _trained([s for s, h in zip(sets, half, strict=True) if h != k], labels[half != k])
+        unseen = np.flatnonzero(half == k)
+        margins[unseen] = [v for v, _ in other.top_of([sets[i] for i in unseen])]
+    if len(set(labels.tolist())) < 2:
+        machine.shift = -3.0
+    else:
+        calibrate(machine, margins, labels)
     return machine
 
 
