@@ -38,7 +38,7 @@ def fail_on_malformed(df: DataFrame, payload: str, schema: str) -> DataFrame:
     return df.withColumn("parsed", F.from_json(payload, schema, {"mode": "FAILFAST"}))
 
 
-def json_schema(df: DataFrame, payload: str) -> Column:
+def json_schema(payload: str) -> Column:
     """An aggregate: the schema that all JSON payloads of a group fit, seen over every row."""
     return F.schema_of_variant_agg(F.parse_json(payload))
 

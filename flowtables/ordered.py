@@ -51,10 +51,10 @@ def running_max(df: DataFrame, value: str, out: str, pos: str = "pos", block: in
     """
     if not levels:
         return df.withColumn(out, F.max(value).over(Window.orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)))
-    number = F.floor(F.col(pos) / block)
-    rows = df.withColumn("__block", number)
-    tops = rows.groupBy("__block").agg(F.max(value).alias("__top")).withColumnRenamed("__block", "__number")
-    carried = running_max(tops, "__top", "__carry", "__number", block, levels - 1).select("__number", "__carry")
-    inside = F.max(value).over(Window.partitionBy("__block").orderBy(pos).rowsBetween(Window.unboundedPreceding, -1))
-    joined = rows.withColumn("__inside", inside).join(carried, F.col("__block") == F.col("__number"))
-    return joined.withColumn(out, F.greatest("__inside", "__carry")).select(*df.columns, out)
+    number, mine, top, carry = F.floor(F.col(pos) / block), f"__block{levels}", f"__top{levels}", f"__carry{levels}"
+    rows = df.withColumn(mine, number)
+    tops = rows.groupBy(F.col(mine).alias(f"__n{levels}")).agg(F.max(value).alias(top))
+    carried = running_max(tops, top, carry, f"__n{levels}", block, levels - 1).select(f"__n{levels}", carry)
+    inside = F.max(value).over(Window.partitionBy(mine).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1))
+    joined = rows.withColumn("__inside", inside).join(carried, F.col(mine) == F.col(f"__n{levels}"))
+    return joined.withColumn(out, F.greatest("__inside", carry)).select(*df.columns, out)

@@ -51,7 +51,7 @@ def ingest_csv(spark, sf_dir):
 
 @query(ALL)
 def ingest_columnar(spark, sf_dir):
-    text = payloads(spark, sf_dir, lambda rows: F.to_json(F.struct(*[F.transform(rows, lambda r, c=c: r[c]).alias(c) for c in ("id", "kind", "v")])))
+    text = payloads(spark, sf_dir, lambda rows: F.to_json(F.struct(F.transform(rows, lambda r: r["id"]).alias("id"), F.transform(rows, lambda r: r["kind"]).alias("kind"), F.transform(rows, lambda r: r["v"]).alias("v"))))
     return ingest.columnar_rows(text, "payload", {"id": "bigint", "kind": "string", "v": "double"})
 
 
@@ -93,7 +93,7 @@ def decode_messages(spark, sf_dir):
     return out[0].union(out[1])
 
 
-@query("""select event_id, epoch_ms(ts) as "T", make_timestamp(epoch_ms(ts) * 1000) as event_time from events""")
+@query("""select event_id, epoch_us(ts) // 1000 as "T", make_timestamp(epoch_us(ts) // 1000 * 1000) as event_time from events""")
 def event_time_extract(spark, sf_dir):
     rows = read_table(spark, sf_dir, "events").select("event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("T"))
     return rows.select("event_id", "`T`", ingest.event_time(F.col("`T`")).cast("timestamp_ntz").alias("event_time"))
@@ -194,7 +194,7 @@ def compact_files(spark, sf_dir):
     small, target = work_dir(spark), work_dir(spark)
     read_table(spark, sf_dir, "events").select("event_id", "event_type", "value").repartition(16).write.parquet(small)
     sinks.compact(spark, small, target)
-    files = lambda path: spark.read.parquet(path).select(F.count_distinct(F.input_file_name())).first()[0]
+    files = lambda path: spark.read.parquet(path).select(F.input_file_name()).distinct().count()
     return spark.read.parquet(target).withColumn("fewer_files", F.lit(files(target) < files(small)))
 
 

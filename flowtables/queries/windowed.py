@@ -47,7 +47,7 @@ def win_session(spark, sf_dir):
     return windows.session(read_table(spark, sf_dir, "events"), "ts", gap="30 minutes", keys=["user_id"], aggs=[F.count("*").alias("n")])
 
 
-@query("""select event_type, epoch_ms(ts) // 3600000 * 3600000 as window_start, epoch_ms(ts) // 3600000 * 3600000 + 3600000 as window_end, count(*) as n
+@query("""select event_type, epoch_us(ts) // 3600000000 * 3600000 as window_start, epoch_us(ts) // 3600000000 * 3600000 + 3600000 as window_end, count(*) as n
 from events group by 1, 2, 3""")
 def win_tumble_ms(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events").withColumn("ms", F.unix_millis(F.col("ts").cast("timestamp")))
@@ -74,7 +74,7 @@ def wm_pipeline(spark, sf_dir):
     return watermark.of_pipeline(read_table(spark, sf_dir, "events"), "event_type", "ts", "10 seconds")
 
 
-@query(f"""select event_type, watermark, epoch_ms(top) - epoch_ms(watermark) as lag_ms from ({SOURCES}), (select max(ts) as top from events)""")
+@query(f"""select event_type, watermark, epoch_us(top) // 1000 - epoch_us(watermark) // 1000 as lag_ms from ({SOURCES}), (select max(ts) as top from events)""")
 def wm_lag(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
     rows = watermark.by_source(ev, "event_type", "ts", "10 seconds").join(F.broadcast(ev.agg(F.max("ts").alias("top"))))  # one row
