@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from flowtables.llm.common import LOWER, SPACE, slices, utf8
 
-WINDOW, STRIDE, Q, EDITS = 80, 40, 6, 0.08
+WINDOW, STRIDE, Q, EDITS, PIECE = 80, 40, 8, 0.08, 1 << 16
 BATCH_BYTES = 8 << 20
 MATCH_TYPE = "doc_id long, item_id long, item_start int, item_end int, doc_start long, doc_end long, edits int"
 
@@ -67,6 +67,10 @@ class Index:
         order = np.argsort(gram, kind="stable")
         self.gram, self.where, self.place = gram[order], where[order], place[order]
         self.starts, self.ends = (np.array([s[j] for s in self.spans] or [0]) for j in (1, 2))
+        size = self.ends - self.starts
+        width = (EDITS * size).astype(np.int64) + 1
+        self.width, self.least = width, np.maximum(size - Q + 1 - (width - 1) * Q, 1)
+        self.fewest, self.reach = int(self.least.min()), int((size + width).max())
         self.bits = np.uint64(64 - bits)
         self.seen = np.zeros(1 << bits, bool)
         self.seen[self.slot(self.gram)] = True
@@ -75,8 +79,15 @@ class Index:
         return (gram * np.uint64(0x9E3779B97F4A7C15)) >> self.bits
 
     def hits(self, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text place, item, item place) of every q-gram of the text that an item has."""
-        at = np.flatnonzero(self.seen[self.slot(gram)])
+        """(text place, item, item place) of the text's q-grams that an item has, where they are dense enough for a window."""
+        seen = self.seen[self.slot(gram)]
+        if self.fewest > 1:
+            total = np.concatenate([[0], np.cumsum(seen, dtype=np.int32)])
+            ends = np.minimum(np.arange(len(gram)) + self.reach, len(gram))
+            dense = np.concatenate([[0], np.cumsum(total[ends] - total[:-1] >= self.fewest, dtype=np.int32)])
+            starts = np.maximum(np.arange(len(gram)) - self.reach + 1, 0)
+            seen &= dense[1:] > dense[starts]
+        at = np.flatnonzero(seen)
         lo, hi = np.searchsorted(self.gram, gram[at]), np.searchsorted(self.gram, gram[at], "right")
         n = hi - lo
         flat = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
@@ -93,7 +104,19 @@ def grams_of(buf: np.ndarray) -> np.ndarray:
 
 
 def regions(index: Index, buf: np.ndarray) -> list[tuple[int, int, int]]:
-    """(window, lowest diagonal, highest diagonal) of every region that reaches the q-gram bound."""
+    """(window, lowest diagonal, highest diagonal) of every region that reaches the q-gram bound.
+
+    The text is looked at in pieces of PIECE bytes, each with the bytes that a window beginning in it can reach, so that
+    memory depends on the piece and not on the text.
+    """
+    found = set()
+    for at in range(0, len(buf), PIECE):
+        part = buf[at : at + PIECE + 2 * WINDOW]
+        found.update((w, lowest + at, highest + at) for w, lowest, highest in _regions(index, part))
+    return sorted(found)
+
+
+def _regions(index: Index, buf: np.ndarray) -> list[tuple[int, int, int]]:
     at, item, place = index.hits(grams_of(buf))
     if not len(at):
         return []
@@ -109,10 +132,9 @@ def regions(index: Index, buf: np.ndarray) -> list[tuple[int, int, int]]:
         fit &= (index.starts[w] <= place) & (place + Q <= index.ends[w])
         out.append((w[fit], at[fit] - place[fit], place[fit]))
     w, diagonal, place = (np.concatenate(x) for x in zip(*out, strict=True))
-    m = index.ends[w] - index.starts[w]
-    width = (EDITS * m).astype(np.int64) + 1
-    least = m - Q + 1 - (width - 1) * Q
-    found = set()
+    if not len(w):
+        return []
+    width = index.width[w]
     band = diagonal // width
     # bands b and b + 1 together make a region, so each diagonal lies in two; a place of the item counts once in each
     rows = np.concatenate([np.stack([w, band - shift, place], 1) for shift in (0, 1)])
@@ -120,12 +142,8 @@ def regions(index: Index, buf: np.ndarray) -> list[tuple[int, int, int]]:
     rows = rows[np.concatenate([[True], (rows[1:] != rows[:-1]).any(1)])]
     new = np.flatnonzero(np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(1)]))
     count = np.diff(np.append(new, len(rows)))
-    need = dict(zip(w.tolist(), zip(least.tolist(), width.tolist(), strict=True), strict=True))
-    for (x, b, _), c in zip(rows[new].tolist(), count.tolist(), strict=True):
-        bound, wide = need[x]
-        if c >= max(1, bound):
-            found.add((x, b * wide, (b + 2) * wide - 1))
-    return sorted(found)
+    w, b = rows[new[count >= index.least[rows[new, 0]]], :2].T
+    return list(zip(w.tolist(), (b * index.width[w]).tolist(), ((b + 2) * index.width[w] - 1).tolist(), strict=True))
 
 
 def aligned(pattern: np.ndarray, buf: np.ndarray, lowest: int, highest: int, start: int, k: int) -> tuple[int, int, int] | None:
@@ -176,7 +194,7 @@ def matches(index: Index, column) -> dict[tuple[int, int], tuple[int, int, int,
         pattern = np.frombuffer(index.items[n][1], np.uint8)[a:b]
         # a region of hits in one row may begin or end in its neighbours' margins
         for row in {int(np.searchsorted(begins, x, "right")) - 1 for x in (max(0, lowest + a + Q), (lowest + highest) // 2 + (a + b) // 2, highest + b - Q)}:
-            if not 0 <= row < len(begins):
+            if not 0 <= row < len(begins) or best.get((row, n), (1,))[0] == 0:
                 continue
             at = int(begins[row])
             if found := aligned(pattern, buf[at : stops[row]], lowest - at, highest - at, a, budget(b - a)):

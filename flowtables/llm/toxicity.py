@@ -23,7 +23,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from flowtables.llm.common import slices
 
 SPAN, DECAY, LETTERS, LONG = 6, 0.75, 64, 24
-SAMPLE_ROWS, SAMPLE_CHARS, NEGATIVES, LANDMARKS, ROUNDS = 2000, 20_000, 100_000, 512, 4
+SAMPLE_ROWS, SAMPLE_CHARS, NEGATIVES, LANDMARKS, ROUNDS = 1500, 8_000, 100_000, 512, 4
 STEPS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
 # single characters set apart by spaces are one word
 SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
