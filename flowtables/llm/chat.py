@@ -61,7 +61,7 @@ def loss_tokens(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int
     mask, shared = np.zeros(len(starts), bool), []
     for a, b in spans:
         i, j = int(np.searchsorted(ends, a, "right")), int(np.searchsorted(starts, b, "left"))
-        if i < j:
+        if a < b and i < j:
             mask[i:j] = True
             shared += [max(a, int(starts[i])), min(b, int(ends[j - 1]))]
     return mask, shared

@@ -76,7 +76,7 @@ def score(docs: DataFrame, ratio: np.ndarray, *, id_col: str = "doc_id", text_co
         for part in slices(batches, "text"):
             n = part.num_rows
             b, row = buckets(*utf8(part.column("text")), len(ratio))
-            count, total = np.bincount(row, minlength=n), np.bincount(row, ratio[b], n)
+            count, total = np.bincount(row, minlength=n), np.bincount(row, ratio[b], n).astype(np.float64)
             ids = part.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)
             key = total + gumbel(ids, seed) + 0.0
             bits = key.view(np.int64)
