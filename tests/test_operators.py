@@ -89,6 +89,7 @@ def test_changes_see_nulls(spark):
 def test_rows_in_blocks(spark, block):
     df = spark.createDataFrame([("a", i, (i * 7919) % 101) for i in range(95)] + [("b", i, i) for i in range(4)], "k string, i long, v long")
     placed = positions(df, ["k"], ["i"], F.floor(F.col("i") / 10))
+    assert positions(df, ["k"], ["i"], F.col("i").cast("string").substr(1, 0)).where("pos != i").count() == 0
     assert all(r.pos == r.i for r in placed.collect())
     got = {(r.k, r.i): r.signal for r in analytics.crossover(placed, "k", "v", short=3, long=8, block=block).collect()}
     want = {(r.k, r.i): r.signal for r in analytics.crossover(placed, "k", "v", short=3, long=8, block=10_000).collect()}
