@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from flowtables.tables import cut, drop_path, work_dir
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def _random_words(n: int, seed: int) -> np.ndarray:

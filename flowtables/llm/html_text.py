@@ -293,7 +293,7 @@ def extract(pages: DataFrame, field: Field, *, id_col: str = "page_id", url_col:
     """
 
     def run(batches):
-        for part in slices(batches, "html", 4 << 20):
+        for part in slices(batches, "html"):
             texts = [main_text(p, field) for p in part.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
