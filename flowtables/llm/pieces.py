@@ -23,7 +23,7 @@ from flowtables.llm.common import BYTE_WORDS, ODD, slices, utf8
 from flowtables.tables import cut
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CHUNK, LONG_UNIT, PAIR_BITS, KNOWN_UNITS = 1 << 16, 64, 21, 400_000
+CHUNK, LONG_UNIT, PAIR_BITS, KNOWN_UNITS, DECODED = 1 << 16, 64, 21, 200_000, 100_000
 NO, EDGE = -1, -2
 INVERSE = np.uint64(pow(int(ODD), -1, 1 << 64))
 
@@ -536,10 +536,12 @@ def decode(encoded: DataFrame, *, id_col: str = "doc_id", ids_col: str = "ids",
     def run(batches):
         v = vocabulary
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            total = np.concatenate([[0], np.cumsum(batch.column("ids").value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+            to = 0
+            while to < batch.num_rows:
+                at, to = to, max(to + 1, int(np.searchsorted(total, total[to] + DECODED, "right")) - 1)
+                part, offsets = batch.slice(at, to - at), total[at : to + 1] - total[at]
                 ids = part.column("ids")
-                offsets = np.concatenate([[0], np.cumsum(ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int64)
                 pieces = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 size = v.size[pieces]
                 ends = np.concatenate([[0], np.cumsum(size)])
