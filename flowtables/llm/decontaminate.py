@@ -1,9 +1,13 @@
 """Benchmark decontamination by the q-gram lemma.
 
-A benchmark item is covered by overlapping windows of `WINDOW` characters. A window of m characters that occurs in a
+A benchmark item is covered by windows of `WINDOW` bytes, one every `STRIDE` bytes. A window of m bytes that occurs in a
 document with at most k edits shares at least m - q + 1 - k * q of its q-grams with it, all on diagonals (place in the
 document minus place in the item) that differ by at most k. So q-gram hits are counted in diagonal bands that overlap
 by half, and only regions that reach the bound are aligned, in a band around their diagonals.
+
+Any stretch of `WINDOW` bytes of an item begins at most STRIDE / 2 = 4 bytes from a window, and so differs from it by at
+most 4 of the 6 edits that a window may have: every exact passage of at least 80 bytes is found wherever it begins, also with
+2 edits in it. With 6 edits, every passage of at least WINDOW + STRIDE - 1 = 87 bytes is found, as it holds a whole window.
 """
 
 from __future__ import annotations
@@ -15,8 +19,8 @@ from pyspark.sql import functions as F
 
 from flowtables.llm.common import LOWER, SPACE, slices, utf8
 
-WINDOW, STRIDE, Q, EDITS, PIECE = 80, 40, 8, 0.08, 1 << 16
-BATCH_BYTES = 8 << 20
+WINDOW, STRIDE, Q, EDITS, PIECE = 80, 8, 8, 0.08, 1 << 16
+BATCH_BYTES, ALIGN_ROWS = 8 << 20, 2048
 MATCH_TYPE = "doc_id long, item_id long, item_start int, item_end int, doc_start long, doc_end long, edits int"
 
 
@@ -53,6 +57,8 @@ class Index:
 
     def __init__(self, items: list[tuple[int, bytes]], bits: int = 22):
         self.items = items
+        self.text = np.frombuffer(b"".join(text for _, text in items), np.uint8)
+        self.offset = np.cumsum([0, *(len(text) for _, text in items)])
         grams, where, place, first = [], [], [], [0]
         self.spans = []
         for n, (_, text) in enumerate(items):
@@ -66,7 +72,9 @@ class Index:
         gram, where, place = (np.concatenate([*x, np.zeros(0, t)]) for x, t in ((grams, np.uint64), (where, np.int64), (place, np.int64)))
         order = np.argsort(gram, kind="stable")
         self.gram, self.where, self.place = gram[order], where[order], place[order]
-        self.starts, self.ends = (np.array([s[j] for s in self.spans] or [0]) for j in (1, 2))
+        self.item, self.starts, self.ends = (np.array([s[j] for s in self.spans] or [0]) for j in (0, 1, 2))
+        self.long = int(self.offset[-1]) + 2 * WINDOW
+        self.order = self.item * self.long + self.starts  # rising, as items and their windows are
         size = self.ends - self.starts
         width = (EDITS * size).astype(np.int64) + 1
         self.width, self.least = width, np.maximum(size - Q + 1 - (width - 1) * Q, 1)
@@ -120,68 +128,71 @@ def _regions(index: Index, buf: np.ndarray) -> list[tuple[int, int, int]]:
     at, item, place = index.hits(grams_of(buf))
     if not len(at):
         return []
-    # a place lies in the windows that start at most WINDOW - Q before it; they follow one another in the index
-    lo = index.first[item]
-    count = index.first[item + 1] - lo
-    last = np.minimum(place // STRIDE, count - 1)
-    out = []
-    for back in range(WINDOW // STRIDE + 2):
-        w = lo + last - back + 1
-        fit = (w >= lo) & (w < lo + count)
-        w = np.where(fit, w, 0)
-        fit &= (index.starts[w] <= place) & (place + Q <= index.ends[w])
-        out.append((w[fit], at[fit] - place[fit], place[fit]))
-    w, diagonal, place = (np.concatenate(x) for x in zip(*out, strict=True))
-    if not len(w):
-        return []
-    width = index.width[w]
-    band = diagonal // width
+    width = index.width[index.first[item]]
+    band = (at - place) // width
     # bands b and b + 1 together make a region, so each diagonal lies in two; a place of the item counts once in each
-    rows = np.concatenate([np.stack([w, band - shift, place], 1) for shift in (0, 1)])
+    rows = np.concatenate([np.stack([item, band - shift, place], 1) for shift in (0, 1)])
     rows = rows[np.lexsort(rows.T[::-1])]
     rows = rows[np.concatenate([[True], (rows[1:] != rows[:-1]).any(1)])]
-    new = np.flatnonzero(np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(1)]))
-    count = np.diff(np.append(new, len(rows)))
-    w, b = rows[new[count >= index.least[rows[new, 0]]], :2].T
-    return list(zip(w.tolist(), (b * index.width[w]).tolist(), ((b + 2) * index.width[w] - 1).tolist(), strict=True))
+    item, band, place = rows.T
+    new = np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(1)])
+    group = np.cumsum(new)
+    key = group * index.long + place
+    # each window is looked at from its first place in the region: it starts after the place before and holds this one
+    after = np.where(new, 0, np.append(0, place[:-1]) + 1)
+    lo = np.searchsorted(index.order, item * index.long + np.maximum(after, place + Q - WINDOW))
+    n = np.searchsorted(index.order, item * index.long + place, "right") - lo
+    head = np.repeat(np.arange(len(rows)), n)
+    w = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
+    count = np.searchsorted(key, group[head] * index.long + index.ends[w] - Q, "right") - head
+    fit = count >= index.least[w]
+    w, band = w[fit], band[head[fit]]
+    width = index.width[w]
+    return list(zip(w.tolist(), (band * width).tolist(), ((band + 2) * width - 1).tolist(), strict=True))
 
 
-def aligned(pattern: np.ndarray, buf: np.ndarray, lowest: int, highest: int, start: int, k: int) -> tuple[int, int, int] | None:
-    """(edits, begin, end) of the best place of `pattern` in `buf` within the diagonals, or None beyond k edits.
+def align(patterns: np.ndarray, buf: np.ndarray, begins: np.ndarray, sizes: np.ndarray, lo: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(edits, begin, end) of the best place of each pattern in its text, buf[begin : begin + size], within `width` diagonals from `lo` on.
 
-    `start` is the pattern's place in the item; diagonals are text place minus item place. Row i of the table holds the
-    cells whose diagonal lies in the band widened by k on both sides.
+    The patterns are rows of equal length; a diagonal is text place minus pattern place. Row i of the table holds the cells
+    of these diagonals, for all patterns at once.
     """
-    m = len(pattern)
-    crop = max(0, lowest + start - k)
-    buf = buf[crop : max(crop, highest + start + k + m + 1)]
-    lo, hi = lowest + start - k - crop, highest + start + k - crop  # text place minus pattern place
-    width = hi - lo + 1
-    cols = lo + np.arange(width)
-    far = 1 << 20
-    valid = (cols >= 0) & (cols <= len(buf))
-    cost = np.where(valid, 0, far)
-    begin = cols.copy()
-    steps = np.arange(width)
-    padded = np.concatenate([buf, np.zeros(1, np.uint8)])
+    m = patterns.shape[1]
+    at = lo[:, None] + np.arange(m + width)
+    inside = (at >= 0) & (at <= sizes[:, None])
+    here = (at >= 0) & (at < sizes[:, None])
+    text = np.where(here, np.append(buf, np.uint8(0))[np.where(here, begins[:, None] + at, 0)], np.int16(-1))
+    far = np.int32(1 << 20)
+    steps = np.arange(width, dtype=np.int32)
+    cost = np.where(inside[:, :width], np.int32(0), far)
+    begin = at[:, :width].astype(np.int32)
+    edge = np.full((len(lo), 1), far), np.zeros((len(lo), 1), np.int32)
     for i in range(1, m + 1):
-        cols = lo + i + np.arange(width)
-        valid = (cols >= 0) & (cols <= len(buf))
-        same = padded[np.clip(cols - 1, 0, len(buf))] == pattern[i - 1]
-        diag = cost + ~(same & (cols >= 1))
-        up = np.concatenate([cost[1:], [far]]) + 1
+        diag = cost + (text[:, i - 1 : i - 1 + width] != patterns[:, i - 1 : i])
+        up = np.concatenate([cost[:, 1:], edge[0]], 1) + np.int32(1)
         took = up < diag
-        best, frm = np.where(took, up, diag), np.where(took, np.concatenate([begin[1:], [0]]), begin)
-        best = np.where(valid, best, far)
-        run = np.minimum.accumulate(best - steps)  # moves along the text cost one each
-        source = np.maximum.accumulate(np.where(best - steps == run, steps, 0))
-        cost, begin = np.where(valid, run + steps, far), frm[source]
-    j = int(cost.argmin())
-    return (int(cost[j]), int(begin[j]) + crop, lo + m + j + crop) if cost[j] <= k else None
+        best, frm = np.where(took, up, diag), np.where(took, np.concatenate([begin[:, 1:], edge[1]], 1), begin)
+        valid = inside[:, i : i + width]
+        best = np.where(valid, best, far) - steps
+        run = np.minimum.accumulate(best, 1)  # moves along the text cost one each
+        source = np.maximum.accumulate(np.where(best == run, steps, 0), 1)
+        cost, begin = np.where(valid, run + steps, far), np.take_along_axis(frm, source, 1)
+    j, each = cost.argmin(1), np.arange(len(lo))
+    return cost[each, j], begin[each, j], lo + m + j
 
 
-def matches(index: Index, column) -> dict[tuple[int, int], tuple[int, int, int, int, int]]:
-    """(row, number of the item) to (edits, item begin, item end, text begin, text end) of the best window."""
+def aligned(pattern: np.ndarray, buf: np.ndarray, lowest: int, highest: int, start: int, k: int) -> tuple[int, int, int] | None:
+    """(edits, begin, end) of the best place of `pattern` in `buf` within the diagonals, or None beyond k edits.
+
+    `start` is the pattern's place in the item; diagonals are text place minus item place. They are widened by k on both sides.
+    """
+    one = np.array([0, len(buf), lowest + start - k])[:, None]
+    edits, begin, end = (int(x[0]) for x in align(pattern[None], buf, *one, highest - lowest + 1 + 2 * k))
+    return (edits, begin, end) if edits <= k else None
+
+
+def matches(index: Index, column, enough: int = 0) -> dict[tuple[int, int], tuple[int, int, int, int, int]]:
+    """(row, number of the item) to (edits, item begin, item end, text begin, text end) of the best window; one of at most `enough` edits will do."""
     raw, ends = squeeze(*utf8(column))
     # zero bytes between rows, so that no q-gram of an item spans two
     gap = np.arange(len(ends)) * Q
@@ -189,18 +200,41 @@ def matches(index: Index, column) -> dict[tuple[int, int], tuple[int, int, int,
     buf[np.arange(len(raw)) + np.repeat(gap[:-1], np.diff(ends))] = raw
     begins, stops = ends[:-1] + gap[:-1], ends[1:] + gap[:-1]
     best: dict[tuple[int, int], tuple] = {}
-    for w, lowest, highest in regions(index, buf):
-        n, a, b = index.spans[w]
-        pattern = np.frombuffer(index.items[n][1], np.uint8)[a:b]
-        # a region of hits in one row may begin or end in its neighbours' margins
-        for row in {int(np.searchsorted(begins, x, "right")) - 1 for x in (max(0, lowest + a + Q), (lowest + highest) // 2 + (a + b) // 2, highest + b - Q)}:
-            if not 0 <= row < len(begins) or best.get((row, n), (1,))[0] == 0:
-                continue
-            at = int(begins[row])
-            if found := aligned(pattern, buf[at : stops[row]], lowest - at, highest - at, a, budget(b - a)):
-                value = (found[0], a, b, found[1], found[2])
-                if (row, n) not in best or value < best[row, n]:
-                    best[row, n] = value
+    if not (spots := regions(index, buf)):
+        return best
+    w, lowest, highest = np.array(spots, np.int64).T
+    a, b = index.starts[w], index.ends[w]
+    # a region of hits in one row may begin or end in its neighbours' margins
+    rows = np.searchsorted(begins, np.stack([np.maximum(0, lowest + a + Q), (lowest + highest) // 2 + (a + b) // 2, highest + b - Q]), "right") - 1
+    use = (rows >= 0) & (rows < len(begins))
+    use[1:] &= rows[1:] != rows[:1]
+    use[2] &= rows[2] != rows[1]
+    guess, spot = np.nonzero(use)
+    row = rows[guess, spot]
+    order = np.lexsort((lowest[spot], w[spot], index.item[w[spot]], row))
+    row, spot = row[order], spot[order]
+    pair = np.stack([row, index.item[w[spot]]], 1)
+    new = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]).any(1)]))
+    size = np.diff(np.append(new, len(row)))
+    rank, number = np.arange(len(row)) - np.repeat(new, size), np.repeat(np.arange(len(new)), size)
+    open_pairs = np.ones(len(new), bool)
+    for least, below in ((0, 1), (1, 16), (16, len(row))):  # most pairs have an exact window early on
+        todo = np.flatnonzero((rank >= least) & (rank < below) & open_pairs[number])
+        length = index.ends[w[spot[todo]]] - index.starts[w[spot[todo]]]
+        for m in np.unique(length).tolist():
+            same = todo[length == m]
+            for part in (same[i : i + ALIGN_ROWS] for i in range(0, len(same), ALIGN_ROWS)):
+                s, r, k = spot[part], row[part], budget(m)
+                n, start = index.item[w[s]], index.starts[w[s]]
+                patterns = index.text[(index.offset[n] + start)[:, None] + np.arange(m)]
+                span = int(highest[s[0]] - lowest[s[0]]) + 1 + 2 * k
+                edits, begin, end = align(patterns, buf, begins[r], (stops - begins)[r], lowest[s] - begins[r] + start - k, span)
+                for j in np.flatnonzero(edits <= k).tolist():
+                    value = (int(edits[j]), int(start[j]), int(start[j]) + m, int(begin[j]), int(end[j]))
+                    at = (int(r[j]), int(n[j]))
+                    if at not in best or value < best[at]:
+                        best[at] = value
+                        open_pairs[number[part[j]]] = value[0] > enough
     return best
 
 
@@ -219,7 +253,7 @@ def _clean(index: Index, text_col: str):
     def run(batches):
         for part in slices(batches, text_col):
             keep = np.ones(part.num_rows, bool)
-            keep[[row for row, _ in matches(index, part.column(text_col))]] = False
+            keep[[row for row, _ in matches(index, part.column(text_col), WINDOW)]] = False
             yield part.filter(pa.array(keep))
 
     return run
@@ -246,6 +280,8 @@ def _groups(benchmark: DataFrame, id_col: str, text_col: str):
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document and benchmark item of which it holds a window with at most EDITS of its length in edits.
 
+    Every exact passage of at least WINDOW = 80 bytes of an item is found, wherever in the item it begins; shorter items count as a whole.
+
     Returns doc_id, item_id, the window (item_start, item_end), where its best match lies (doc_start, doc_end) and its
     edits; offsets are in bytes of the text with A-Z lower-cased and white space squeezed. Of several windows the one with the
     fewest edits counts, then the first.

@@ -73,6 +73,35 @@ def test_alignment_against_full_table():
         assert (found[0] if found else None) == (want if want <= 5 else None)
 
 
+def test_exact_passages_at_every_offset(prose):
+    for a in (prose(1, 40), "é" + prose(2, 30).replace("e", "é"), prose(3, 30)[:81], prose(4, 30)[:80]):
+        a = a.encode()
+        index = D.Index([(1, prose(9, 50).encode()), (2, a)])
+        places = range(len(a) - D.WINDOW + 1)
+        texts = [b"before it |" + a[s : s + D.WINDOW] + b"| and after" for s in places]
+        column = pa.array(texts, pa.binary()).view(pa.string())
+        assert {row for row, n in D.matches(index, column) if n == 1} == set(places)
+
+
+def test_windows_against_brute_force(prose):
+    a = prose(1, 40)
+    rng = np.random.default_rng(5)
+    index = D.Index([(1, a.encode())])
+    spans = D.windows(len(a))
+    texts = []
+    for _ in range(40):
+        s, n = int(rng.integers(0, len(a) - 60)), int(rng.integers(70, 100))
+        part = a[s : s + n]
+        places = sorted(rng.choice(len(part), int(rng.integers(0, 8)), replace=False).tolist())
+        texts.append(prose(20, 4) + "|" + edited(part, [(p, ("sub", "del", "ins")[p % 3]) for p in places]) + "|" + prose(21, 4))
+    texts = [D.squeeze(*utf8(pa.array([t])))[0].tobytes().decode() for t in texts]
+    found = D.matches(index, pa.array(texts))
+    for row, text in enumerate(texts):
+        edits, first = min((distance(a[s:e], text), s) for s, e in spans)
+        got = found.get((row, 0))
+        assert (got and got[:2]) == ((edits, first) if edits <= D.budget(D.WINDOW) else None)
+
+
 def test_squeeze():
     texts = ["  A\t\nb ", "", " ", "cD", "e  ", "\xa0É x"]
     raw, ends = D.squeeze(*utf8(pa.array(texts)))
