@@ -62,6 +62,11 @@ def correlations(df: DataFrame, pairs: DataFrame, key: str, value: str, order: S
     return pairs.join(a, "a").join(b, ["b", "back"]).groupBy("a", "b").agg(F.corr("ra", "rb").alias("corr"))
 
 
+def high_correlations(corr: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The rows of `correlations` whose corr is beyond `threshold`, positive or negative."""
+    return corr.where(F.abs("corr") > threshold)
+
+
 def portfolio(positions: DataFrame, prices: DataFrame, account: str, symbol: str) -> DataFrame:
     """account, positions, exposure (market value) and pnl (unrealised) of holdings (quantity, avg_cost); a holding without price counts but adds nothing."""
     joined = positions.join(prices.select(symbol, "price"), symbol, "left")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from flowtables import aggregates, analytics
@@ -73,6 +75,27 @@ def corr_pairs(spark, sf_dir):
     return correlated(spark, sf_dir).where(F.abs("corr") > 0.1).select("a", "b", F.round("corr", 8).alias("corr"))
 
 
+TYPES = ("click", "error", "purchase", "signup", "view")
+ALL_CORR = f"""select x.event_type as a, y.event_type as b, corr(x.ret, y.ret) as corr from ({RETS.format(n=30)}) x join ({RETS.format(n=30)}) y on x.back = y.back and x.event_type < y.event_type
+where x.event_type in (select event_type from events group by 1 having count(*) >= 30) and y.event_type in (select event_type from events group by 1 having count(*) >= 30) group by 1, 2"""
+
+
+def all_correlated(spark, sf_dir):
+    """Every pair of the event types, listed: the types are a bounded set, and no join of types with types is made."""
+    pairs = spark.createDataFrame(list(combinations(TYPES, 2)), "a string, b string")
+    return analytics.correlations(read_table(spark, sf_dir, "events"), pairs, "event_type", "value", LAST())
+
+
+@query(f"select a, b, round(corr, 8) as corr from ({ALL_CORR})")
+def corr_matrix_all(spark, sf_dir):
+    return all_correlated(spark, sf_dir).select("a", "b", F.round("corr", 8).alias("corr"))
+
+
+@query(f"select a, b, round(corr, 8) as corr from ({ALL_CORR}) where abs(corr) > 0.5")
+def corr_pairs_all(spark, sf_dir):
+    return analytics.high_correlations(all_correlated(spark, sf_dir)).select("a", "b", F.round("corr", 8).alias("corr"))
+
+
 def prices(spark, sf_dir):
     order = F.struct("l_shipdate", "l_orderkey", "l_linenumber")
     return read_table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.max_by("l_extendedprice", order).alias("price"))

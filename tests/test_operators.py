@@ -1,6 +1,7 @@
 """Edges that the test tables do not show."""
 
 from datetime import datetime as dt
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from flowtables import analytics, cdc, ingest, sinks, streams, types, watermark, windows
 from flowtables.aggregates import ema
 from flowtables.ordered import over_rows, positions, running_max
+from flowtables.queries import QUERIES
 from flowtables.tables import work_dir
 
 
@@ -98,6 +100,21 @@ def test_rows_in_blocks(spark, block):
     assert all(r.s == sum((j * 7919) % 101 for j in range(max(0, r.i - 4), r.i + 1)) for r in sums.where("k = 'a'").collect())
 
 
+def test_correlations_of_all_types(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    types = sorted(r[0] for r in spark.read.parquet(f"{sf_dir}/events.parquet").select("event_type").distinct().collect())
+    matrix = {(r.a, r.b): r.corr for r in QUERIES["corr_matrix_all"](spark, sf_dir).collect()}
+    assert matrix.keys() == set(combinations(types, 2)) and len(matrix) == 10
+    high = {(r.a, r.b): r.corr for r in QUERIES["corr_pairs_all"](spark, sf_dir).collect()}
+    assert high == {p: c for p, c in matrix.items() if abs(c) > 0.5} and ("purchase", "view") in high
+
+
+def test_correlation_threshold(spark):
+    corr = spark.createDataFrame([("a", "b", 0.5), ("a", "c", -0.6), ("b", "c", 0.2), ("b", "d", None)], "a string, b string, corr double")
+    assert [(r.a, r.b) for r in analytics.high_correlations(corr).collect()] == [("a", "c")]
+    assert analytics.high_correlations(corr, 0.1).count() == 3
+
+
 @pytest.mark.parametrize("levels", [0, 1, 3])
 def test_running_max(spark, levels):
     values = [(i * 37) % 50 for i in range(60)]
