@@ -23,7 +23,8 @@ MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^
 NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 BREAKS = frozenset("address article aside blockquote body button center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html iframe legend li main nav noscript ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "title", "template", "textarea", "svg", "math")}
+HIDDEN = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "title", "template", "textarea", "svg")}
+CLOSABLE = frozenset(("svg", "math"))  # the tags in which "/>" ends an element, as in XML
 ENDS_ITSELF = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPES = frozenset("table ul ol dl div section article body aside main nav header footer form td th li dd select".split())
 WHITE = re.compile(r"[\x20\x09-\x0D]+")
@@ -70,6 +71,8 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
                 if name in SCOPES and tag not in SCOPES:
                     break
             continue
+        if tag in CLOSABLE and m[3].endswith("/"):
+            continue
         if tag in HIDDEN:
             end = HIDDEN[tag].search(page, at)
             at = end.end() if end else len(page)

@@ -26,6 +26,18 @@ def test_blocks(page, want):
     assert [tuple(x for x in p if x.split(" ")[0] in H.BREAKS) for p, _ in got] == [tuple(x for x in p if x.split(" ")[0] in H.BREAKS) for p, _ in want]
 
 
+@pytest.mark.parametrize("page,want", [
+    ('<article><p>a <svg width="3"/>b</p><p>c</p></article>', ["a b", "c"]),
+    ("<article><p>a <math/>b</p><p>c</p></article>", ["a b", "c"]),
+    ("<p>a <svg/>b <svg><title>no</title><path d='M0'/><g/></svg>c</p>", ["a b c"]),
+    ("<article><p>so <math display='block'><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p></article>", ["so x=2 holds"]),
+    ("<article><p>never <math><mi>y</mi></p><p>next</p></article>", ["never y", "next"]),
+    ("<p>a <SVG />b<script/>c</script>d</p>", ["a bd"]),
+])
+def test_drawings_and_formulas(page, want):
+    assert [t for _, t, _ in H.blocks(page)] == want
+
+
 def test_viterbi_and_marginals_against_all_labelings(field):
     rng = np.random.default_rng(1)
     for n in (1, 2, 6):
