@@ -13,6 +13,8 @@ all words of a corpus costs a few table look-ups per letter.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -25,18 +27,38 @@ from flowtables.llm.common import slices
 SPAN, DECAY, LETTERS, LONG = 6, 0.75, 64, 24
 SAMPLE_ROWS, SAMPLE_CHARS, NEGATIVES, LANDMARKS, ROUNDS = 1500, 8_000, 100_000, 512, 4
 STEPS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
-# single characters set apart by spaces are one word
-SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
+# (letters, step) of the stretches that a longer word is also looked at in; each holds any run of letters - step + 1 whole
+STRETCHES, AT_ONCE = ((12, 4), (LONG, 8)), 20_000
+# single characters set apart by white space are one word, and so are parts of one or two
+SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)"), re.compile(r"(?<!\S)\S{1,2}(?:\s+\S{1,2}){2,}(?!\S)")
 
 
-def words_of(text: str | None) -> set[str]:
-    """The distinct words of a text, lower-cased; three or more single characters in a row are joined to one."""
+def tokens_of(text: str | None) -> set[str]:
+    """The distinct words of a text, lower-cased; three or more single characters in a row are joined to one, also parts of up to two."""
     low = (text or "").lower()
     found = set(low.split())
-    found.update("".join(m.split()) for m in SPACED.findall(low))
+    for pattern in SPACED:
+        found.update("".join(m.split()) for m in pattern.findall(low))
     return found
 
 
+def stretches(word: str) -> Iterator[str]:
+    """Overlapping stretches of the letters of a word of more than LONG letters, as a whole word's norm hides an insult in it."""
+    if len(word) <= LONG:
+        return
+    letters = "".join(filter(str.isalpha, word))
+    if len(letters) > LONG:
+        for size, step in STRETCHES:
+            for at in range(0, len(letters) - size + step, step):
+                yield letters[(start := min(at, len(letters) - size)) : start + size]
+
+
+def words_of(text: str | None) -> set[str]:
+    """The words of a text and the stretches of its long ones."""
+    found = tokens_of(text)
+    return found.union(*map(stretches, found))
+
+
 class Alphabet:
     """Letters to numbers: the frequent ones have numbers of their own, others share by code point, all else is 0.
 
@@ -111,7 +133,13 @@ class Machine:
 
     def top(self, texts: list[str | None]) -> list[tuple[float, str]]:
         """The most suspect word of each text and its value; (bias, "") for texts without words."""
-        return self.top_of([words_of(t) for t in texts])
+        sets = [tokens_of(t) for t in texts]
+        best = self.top_of(sets)
+        # a long text without spaces has very many stretches: some at a time
+        for part in batched(((n, x) for n, s in enumerate(sets) for w in s for x in stretches(w)), AT_ONCE):
+            for (n, word), value in zip(part, self.margins([x for _, x in part]).tolist(), strict=True):
+                best[n] = max(best[n], (value, word))
+        return best
 
     def top_of(self, sets: list[set[str]]) -> list[tuple[float, str]]:
         every = list(set().union(*sets))

@@ -46,6 +46,29 @@ def test_gapped_and_inserted_letters(machine, prose):
         assert p(text) < 0.7, text
 
 
+def test_insults_in_long_words(machine, prose):
+    base = prose(77, 30)
+    p = lambda t: float(machine.probability(np.array([v for v, _ in machine.top([t])]))[0])
+    bare = "".join(filter(str.isalpha, prose(78, 60)))
+    zero = "\u200b"
+    for insult in ("blorgface", "zixnutter"):
+        for text in (*(bare[:n] + insult + bare[n:] for n in (0, 7, 30, 101, len(bare))), ",".join([*prose(79, 20).split(), insult, *prose(80, 20).split()]), zero.join(bare[:40] + insult + bare[40:])):
+            assert p(f"{base} {text} {base}") >= 0.7, text
+    for text in ("b  l o\tr  g\nf a c e", "bl or g fa ce", "z ix nu tt er"):
+        assert p(f"{base} {text} {base}") >= 0.7, text
+    for text in (bare, ",".join(prose(79, 40).split()), zero.join(bare)):
+        assert p(f"{base} {text} {base}") < 0.7, text
+
+
+def test_stretches_hold_every_run():
+    word = "".join(chr(0x4E00 + i) for i in range(97))
+    for size, step in T.STRETCHES:
+        run = size - step + 1
+        parts = [x for x in T.stretches(word) if len(x) == size]
+        assert all(any(word[i : i + run] in x for x in parts) for i in range(len(word) - run + 1))
+    assert not list(T.stretches("x" * T.LONG)) and not list(T.stretches("1" * 500))
+
+
 def test_margins_are_the_kernel_machine(machine):
     """The table of triple weights against triples counted one by one."""
     for word in ("blorgface", "harbor", "a", "ab", "...", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "ééblorg"):
