@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from flowtables.llm.common import ODD, mix, slices, utf8, word_hashes
 from flowtables.tables import cut
 
-BUCKETS, TARGET_ROWS, SHARE, SEED = 10_000, 20_000, 0.8, 42
+BUCKETS, SHARE, SEED = 10_000, 0.8, 42
 SCORE_TYPE = "doc_id long, n_grams long, log_weight double, quality double, gumbel_key double, order_key long"
 
 
@@ -30,31 +30,30 @@ def buckets(raw: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, n
     return (np.concatenate([words, both]) % np.uint64(size)).astype(np.int64), np.concatenate([row, row[1:][pair]])
 
 
-def _counts(target: np.ndarray, size: int):
+def _counts(size: int):
     def run(batches):
-        every, good = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        total = np.zeros(size, np.int64)
         for part in slices(batches, "text"):
-            b, row = buckets(*utf8(part.column("text")), size)
-            every += np.bincount(b, minlength=size)
-            ids = part.column("doc_id").to_numpy(zero_copy_only=False)
-            good += np.bincount(b[np.isin(ids, target)[row]], minlength=size)
-        seen = np.flatnonzero(every)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(every[seen]), pa.array(good[seen])], ["bucket", "every", "good"])
+            total += np.bincount(buckets(*utf8(part.column("text")), size)[0], minlength=size)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["bucket", "n"])
 
     return run
 
 
-def fit(docs: DataFrame, good_ids: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = BUCKETS, target_rows: int = TARGET_ROWS) -> np.ndarray:
+def fit(docs: DataFrame, good_ids: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = BUCKETS) -> np.ndarray:
     """The log ratio of each bucket's probability in good texts to that in all texts.
 
-    `good_ids` names good texts in its first column; at most `target_rows` of them (by a hash of the id) are
-    counted as the target, all texts as the raw model. One added to each count keeps the ratio finite; it is 0
-    everywhere where there is no good text. Every task counts into `size` buckets first, so at most that many rows a task move.
+    `good_ids` names good texts in its first column; all of them are counted as the target, all texts as the raw
+    model. One added to each count keeps the ratio finite; it is 0 everywhere where there is no good text. Every task
+    counts into `size` buckets first, so at most that many rows a task move. All texts are counted where they lie; for the
+    target, texts move once to the good ids, of which only hashed parts are held, so that the texts need no sort.
     """
-    ids = good_ids.select(F.col(good_ids.columns[0]).cast("long").alias("id")).where("id is not null").distinct()
-    target = np.array(sorted(r.id for r in ids.orderBy(F.xxhash64("id"), "id").limit(target_rows).collect()), np.int64)
+    ids = good_ids.select(F.col(good_ids.columns[0]).cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    counts = base.mapInArrow(_counts(target, size), "bucket long, every long, good long").groupBy("bucket").agg(F.sum("every").alias("every"), F.sum("good").alias("good")).toPandas()
+    known = base.where("doc_id is not null").join(ids.hint("shuffle_hash"), "doc_id", "left_semi")
+    count = lambda df, name: df.select("text").mapInArrow(_counts(size), "bucket long, n long").select("bucket", *[(F.col("n") if name == c else F.lit(0).cast("long")).alias(c) for c in ("every", "good")])
+    counts = count(base, "every").union(count(known, "good")).groupBy("bucket").agg(F.sum("every").alias("every"), F.sum("good").alias("good")).toPandas()
     every, good = np.ones(size), np.ones(size)
     every[counts.bucket], good[counts.bucket] = counts.every + 1.0, counts.good + 1.0
     return np.zeros(size) if good.sum() == size else np.log(good / good.sum()) - np.log(every / every.sum())

@@ -161,6 +161,17 @@ def test_quality_rows(spark):
     assert empty.collect() == []
 
 
+def test_every_good_text_counts(spark):
+    df = spark.range(25_000).selectExpr("id as doc_id", "if(id % 5 = 0, 'rare', 'word') as text").union(spark.sql("select cast(null as long), 'word'"))
+    good = spark.range(25_000).where("id % 5 > 0 or id < 5000").unionAll(spark.sql("select cast(null as long)"))
+    ratio = Q.fit(df, good.union(good))
+    size = Q.BUCKETS
+    for word, every, target in (("word", 20_001, 20_000), ("rare", 5_000, 1_000)):
+        raw = np.frombuffer(word.encode(), np.uint8)
+        b = Q.buckets(raw, np.array([0, len(raw)]), size)[0][0]
+        assert ratio[b] == pytest.approx(np.log((target + 1) / (21_000 + size)) - np.log((every + 1) / (25_001 + size)))
+
+
 def test_kth_largest(spark):
     values = [5, -3, 2**62, -(2**62), 0, 5, 7, -1]
     df = spark.createDataFrame([(v,) for v in values], "x long")
