@@ -40,7 +40,7 @@ def ema(df: DataFrame, key: str, value: str, order: Sequence[str], slot: Column,
     sizes = rows.groupBy(key, "__slot").agg(F.max("pos").alias("__last"), F.min_by(value, "pos").alias("__first"), F.min("pos").alias("__from"))
     total = Window.partitionBy(key)
     sizes = sizes.withColumn("__end", F.max("__last").over(total)).select(F.col(key).alias("__k"), F.col("__slot").alias("__s"), "__last", "__first", "__from", "__end")
-    parts = rows.join(sizes, F.col(key).eqNullSafe(F.col("__k")) & (F.col("__slot") == F.col("__s")))
+    parts = rows.join(sizes, F.col(key).eqNullSafe(F.col("__k")) & F.col("__slot").eqNullSafe(F.col("__s")))
     part = F.sum(F.lit(alpha) * F.col(value) * F.pow(F.lit(keep), F.col("__last") - F.col("pos")))
     slots = parts.groupBy(key, "__slot", "__last", "__from", "__first", "__end").agg(part.alias("__part"))
     folded = F.sum(F.col("__part") * F.pow(F.lit(keep), F.col("__end") - F.col("__last")))

@@ -12,40 +12,40 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], slot: Co
     """`df` with each row's place (from 0) among its key's rows in `order`.
 
     `slot` is a coarse value that never falls along the order, such as an hour of the time. Rows are counted by key and slot; the counts
-    before a slot and the place inside it give the position. The order must be total.
+    before a slot and the place inside it give the position. The order must be total. Nulls come last, a null slot after all others.
     """
     rows = df.withColumn("__slot", slot)
     counts = rows.groupBy(*keys, "__slot").agg(F.count("*").alias("__n"))
     # slots that are numbers are summed by level, so that not even the slots of a key meet in one task
     levels = 2 if dict(counts.dtypes)["__slot"] in ("int", "bigint") else 0
     starts = running_total(counts, keys, "__n", "__start", "__slot", levels=levels)
-    inside = F.row_number().over(Window.partitionBy(*keys, "__slot").orderBy(*order))
+    inside = F.row_number().over(Window.partitionBy(*keys, "__slot").orderBy(*[F.col(c).asc_nulls_last() for c in order]))
     placed = rows.withColumn("__in", inside)
     joined = placed.join(starts.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__slot").alias("__s"), "__start"), _equal(keys))
     return joined.withColumn(out, F.col("__start") + F.col("__in") - 1).select(*df.columns, out)
 
 
 def _equal(keys: Sequence[str]) -> Column:
-    match = F.col("__slot") == F.col("__s")
+    match = F.col("__slot").eqNullSafe(F.col("__s"))
     for i, k in enumerate(keys):
         match &= F.col(k).eqNullSafe(F.col(f"__k{i}"))
     return match
 
 
 def running_total(df: DataFrame, keys: Sequence[str], value: str, out: str, pos: str, block: int = 1000, levels: int = 2) -> DataFrame:
-    """`df` with the sum of `value` over the key's rows of smaller position, 0 for the first; by levels, like `running_max`."""
+    """`df` with the sum of `value` over the key's rows of smaller position, 0 for the first; by levels, like `running_max`. A null position is the last."""
     if not levels:
-        before = Window.partitionBy(*keys).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
+        before = Window.partitionBy(*keys).orderBy(F.col(pos).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumn(out, F.coalesce(F.sum(value).over(before), F.lit(0)))
     mine, carry, number, total = (f"__{x}{levels}" for x in ("block", "carry", "number", "total"))
     rows = df.withColumn(mine, F.floor(F.col(pos) / block))
     sums = rows.groupBy(*keys, mine).agg(F.sum(value).alias(total))
     carried = running_total(sums, keys, total, carry, mine, block, levels - 1)
     carried = carried.select(*[F.col(k).alias(f"{number}_{i}") for i, k in enumerate(keys)], F.col(mine).alias(number), carry)
-    match = F.col(mine) == F.col(number)
+    match = F.col(mine).eqNullSafe(F.col(number))
     for i, k in enumerate(keys):
         match &= F.col(k).eqNullSafe(F.col(f"{number}_{i}"))
-    inside = F.sum(value).over(Window.partitionBy(*keys, mine).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1))
+    inside = F.sum(value).over(Window.partitionBy(*keys, mine).orderBy(F.col(pos).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1))
     joined = rows.withColumn("__inside", inside).join(carried, match)
     return joined.withColumn(out, F.coalesce("__inside", F.lit(0)) + F.col(carry)).select(*df.columns, out)
 

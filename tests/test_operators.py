@@ -100,6 +100,25 @@ def test_rows_in_blocks(spark, block):
     assert all(r.s == sum((j * 7919) % 101 for j in range(max(0, r.i - 4), r.i + 1)) for r in sums.where("k = 'a'").collect())
 
 
+def test_rows_without_a_time_come_last(spark, tmp_path):
+    hour = F.date_trunc("hour", "ts")
+    rows = [("a", i, dt(2024, 1, 1, i % 5), float(i + 1)) for i in range(8)] + [("a", 8, None, 20.0), ("a", 9, None, 21.0), ("b", 10, None, 3.0)]
+    df = spark.createDataFrame(rows, "event_type string, event_id long, ts timestamp_ntz, value double")
+    order = sorted((r for r in rows if r[0] == "a"), key=lambda r: (r[2] is None, r[2] or dt.max, r[1]))
+    want = {r[1]: n for n, r in enumerate(order)} | {10: 0}
+    for slot in (hour, F.hour("ts"), F.hour("ts").cast("long") * 5000):
+        assert {r.event_id: r.pos for r in positions(df, ["event_type"], ["ts", "event_id"], slot).collect()} == want
+        e = order[0][3]
+        for r in order[1:]:
+            e = 0.3 * r[3] + 0.7 * e
+        assert {r.event_type: r.ema for r in ema(df, "event_type", "value", ["ts", "event_id"], slot, 0.3).collect()} == {"a": pytest.approx(e), "b": pytest.approx(3.0)}
+    df.withColumns({"user_id": F.lit(1), "props": F.lit("{}")}).write.parquet(f"{tmp_path}/events.parquet")
+    for name in ("rolling_mean", "ma_crossover", "returns"):
+        assert QUERIES[name](spark, str(tmp_path)).count() == len(rows)
+    got = {r.event_id: r.ret for r in QUERIES["returns"](spark, str(tmp_path)).collect()}
+    assert got[8] == pytest.approx((20 - order[7][3]) / order[7][3], abs=1e-7) and got[10] is None
+
+
 def test_correlations_of_all_types(spark):
     sf_dir = "/root/testdata/sf0.1"
     types = sorted(r[0] for r in spark.read.parquet(f"{sf_dir}/events.parquet").select("event_type").distinct().collect())
