@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtables.llm import chat, decontaminate, embedding_dup, html_text, language_id, line_dedup, near_dup, pieces, quality, toxicity
+from flowtables.llm import chat, decontaminate, embedding_dup, html_text, language_id, line_dedup, near_dup, pieces, quality, toxicity, whitening
 from flowtables.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,9 @@ def op6_sentencepiece(spark, sf_dir):
     encoded = pieces.encode(read_table(spark, sf_dir, "documents"), columns=["doc_id"])
     decoded = pieces.decode(encoded)
     return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.length("text").cast("long").alias("decoded_chars"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@query()
+def op11_embedding_whitening(spark, sf_dir):
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return whitening.transform(vectors, whitening.fit(vectors))
