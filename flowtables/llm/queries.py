@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtables.llm import chat, decontaminate, embedding_dup, html_text, language_id, line_dedup, near_dup, pieces, quality, toxicity, whitening
+from flowtables.llm import chat, decontaminate, embedding_dup, html_text, language_id, line_dedup, near_dup, pieces, prefix_trie, quality, toxicity, whitening
 from flowtables.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,24 @@ def op6_sentencepiece(spark, sf_dir):
 def op11_embedding_whitening(spark, sf_dir):
     vectors = read_table(spark, sf_dir, "embeddings")
     return whitening.transform(vectors, whitening.fit(vectors))
+
+
+# conversation c begins with the first crc32(c) % 4 turns of conversation c - c % 20; the checksum is worked out bit by bit, as DuckDB has none
+@query("""
+with ids as (select distinct conv_id as c, list_transform(range(1, length(cast(conv_id as varchar)) + 1), lambda i: ascii(substr(cast(conv_id as varchar), i, 1))::ubigint) as bytes from conversations where conv_id is not null),
+crc as (select c, xor(list_reduce(list_prepend(4294967295::ubigint, bytes), lambda acc, b: list_reduce(list_prepend(xor(acc, b), [1::ubigint, 2, 3, 4, 5, 6, 7, 8]), lambda x, i:
+  case when x % 2 = 1 then xor(x // 2, 3988292384::ubigint) else x // 2 end)), 4294967295::ubigint) % 4 as h from ids),
+own as (select conv_id as c, list({'r': coalesce(role, ''), 'x': coalesce(text, '')} order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as turns from conversations where conv_id is not null group by conv_id),
+conv as (select crc.c, list_concat(coalesce(b.turns[:crc.h], []), o.turns[crc.h + 1:]) as turns from crc join own o using (c) left join own b on b.c = crc.c - crc.c % 20),
+path as (select c, d, turns[:d] as node, d = len(turns) as ends, case when d > 0 then len(regexp_extract_all(turns[d].x, '[^\x20\x09-\x0D]+')) else 0 end as words
+  from (select c, turns, unnest(range(0, len(turns) + 1)) as d from conv)),
+node as (select node, d, min(c) as conv_id, count(*) as n, any_value(words) as words, coalesce(string_agg(cast(c as varchar), ',' order by c) filter (ends), '') as ids from path group by node, d),
+child as (select node[:d - 1] as node, count(*) as kids from node where d > 0 group by 1),
+full_node as (select node.*, coalesce(kids, 0) as kids from node left join child using (node)),
+up as (select unnest(range(0, d + 1)) as a, node, (n - 1) * words as saved, kids = 0 as leaf from full_node),
+sub as (select node[:a] as node, sum(saved) as saved, count(*) filter (leaf) as leaves from up group by 1)
+select f.conv_id, f.d as depth, p.conv_id as parent_conv_id, f.n as n_convs, f.kids as n_children, sub.leaves as n_leaves, cast(sub.saved as bigint) as saved_tokens, sha256(f.ids) as ends_sha256
+from full_node f join sub using (node) left join node p on f.d > 0 and p.node = f.node[:f.d - 1]
+""")
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"), donor=lambda c: c - c % 20, take=lambda c: F.crc32(c.cast("string")) % 4)
