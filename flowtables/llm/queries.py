@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtables.llm import chat, decontaminate, embedding_dup, html_text, language_id, line_dedup, near_dup, pieces, prefix_trie, quality, toxicity, whitening
+from flowtables.llm import chat, decontaminate, embedding_dup, html_text, language_id, line_dedup, near_dup, pieces, prefix_trie, quality, repeats, toxicity, whitening
 from flowtables.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,9 @@ from full_node f join sub using (node) left join node p on f.d > 0 and p.node =
 """)
 def op12_prefix_trie(spark, sf_dir):
     return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"), donor=lambda c: c - c % 20, take=lambda c: F.crc32(c.cast("string")) % 4)
+
+
+@query()
+def op13_suffix_array_dedup(spark, sf_dir):
+    out = repeats.without_repeats(read_table(spark, sf_dir, "documents"), keep_first=False)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
