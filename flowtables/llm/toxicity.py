@@ -26,6 +26,7 @@ from flowtables.llm.common import slices
 
 SPAN, DECAY, LETTERS, LONG = 6, 0.75, 64, 24
 SAMPLE_ROWS, SAMPLE_CHARS, NEGATIVES, LANDMARKS, ROUNDS = 1500, 8_000, 100_000, 512, 4
+GRAMS, SLOPES, EVEN, FOLDS, PER_TEXT = range(4, 8), (2.6, 12.0), (0.0, 0.55), 3, 8
 STEPS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
 # (letters, step) of the stretches that a longer word is also looked at in; each holds any run of letters - step + 1 whole
 STRETCHES, AT_ONCE = ((12, 4), (LONG, 8)), 20_000
@@ -216,32 +217,59 @@ def disguised(words: list[str], rng: np.random.Generator) -> list[str]:
 
 
 def calibrate(machine: Machine, margins: np.ndarray, labels: np.ndarray) -> None:
-    """A logistic curve through the texts' values (Platt scaling)."""
+    """A logistic curve through the texts' values (Platt scaling): the least of a convex loss, found by Newton steps that are halved until
+    the loss falls. The ridge pulls it to slope 3, and both are bounded, the slope to SLOPES and the value with even odds to EVEN: few
+    texts, or texts that a value tells apart wholly, cannot make it arbitrarily steep, the machine's margin of 1 for an insult always
+    scores above 0.7, and a text without suspect words low.
+    """
     x = np.column_stack([margins, np.ones(len(margins))])
     goal = np.where(labels > 0, (labels.sum() + 1) / (labels.sum() + 2), 1 / (len(labels) - labels.sum() + 2))
-    w = np.array([3.0, 0.0])
-    for _ in range(50):
+    prior, ridge = np.array([3.0, 0.0]), np.diag([1.0, 0.01])
+    loss = lambda w: np.logaddexp(0, x @ w).sum() - goal @ (x @ w) + (w - prior) @ ridge @ (w - prior) / 2
+    w = prior
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2), x.T @ (p - goal) + 1e-3 * w)
-        w -= step
-        if abs(step).max() < 1e-8:
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (p - goal) + ridge @ (w - prior))
+        size = 1.0
+        while size > 1e-6 and loss(w - size * step) > loss(w):
+            size /= 2
+        if size <= 1e-6 or abs(size * step).max() < 1e-8:
             break
-    machine.slope, machine.shift = map(float, w) if w[0] > 0 else (1.0, -2.0)
+        w = w - size * step
+    slope = float(np.clip(w[0], *SLOPES))
+    even = float(np.clip(-w[1] / w[0] if w[0] > 0 else EVEN[1], *EVEN))
+    machine.slope, machine.shift = slope, -slope * even
+
+
+def substrings(word: str) -> set[str]:
+    """The runs of GRAMS letters of a word between its marks, and the whole of it: what inflected forms of a stem share."""
+    marked = f"^{word}$"
+    return {marked}.union(marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1))
 
 
 def _trained(sets: list[set[str]], labels: np.ndarray) -> Machine:
     """A machine from texts' words and labels: rounds of training on the words that the last round found most suspect.
 
-    The first round takes from each toxic text the word that most toxic and fewest clean texts have. From clean texts come the
+    The first round takes from each toxic text the words with the parts that most toxic and fewest clean texts have. From clean texts come the
     words with the highest values so far, and some others.
     """
     letters: dict[str, int] = {}
     in_bad: dict[str, int] = {}
     in_good: dict[str, int] = {}
+    grams_bad: dict[str, int] = {}
+    grams_good: dict[str, int] = {}
     for s, label in zip(sets, labels, strict=True):
         counts = in_bad if label else in_good
         for w in s:
             counts[w] = counts.get(w, 0) + 1
+        if label:
+            for g in set().union(*map(substrings, s)):
+                grams_bad[g] = grams_bad.get(g, 0) + 1
+    for s, label in zip(sets, labels, strict=True):
+        if not label:
+            for g in set().union(*map(substrings, s)):
+                if g in grams_bad:
+                    grams_good[g] = grams_good.get(g, 0) + 1
     for w in [*in_good, *in_bad]:
         for c in w:
             letters[c] = letters.get(c, 0) + 1
@@ -250,43 +278,53 @@ def _trained(sets: list[set[str]], labels: np.ndarray) -> Machine:
     rng = np.random.default_rng(1)
     every = sorted(in_good)
     every = [every[i] for i in rng.permutation(len(every))[:NEGATIVES]]
-    suspect = lambda w: (in_bad[w] / (1 + 20 * in_good.get(w, 0)), w)
-    bad = [max(filter(lambda w: len(w) > 2, s), key=suspect, default="") for s in toxic]
+    lift = lambda w: max(grams_bad[g] / (1 + 20 * grams_good.get(g, 0)) for g in substrings(w))
+    lifts = {w: lift(w) for w in in_bad if len(w) > 2}
+    first = [sorted((w for w in s if len(w) > 2), key=lambda w: (-lifts[w], w))[:PER_TEXT] for s in toxic]
+    # parts that so many toxic and no clean texts have are hardly there by chance; fewer where a third of the toxic texts has none
+    share = max(len(toxic), 1) / max(len(sets), 1)
+    chance = min(8, max(2, int(np.ceil(np.log(100) / -np.log(min(share, 0.99)))) + 2))
+    sure_lift = next((n for n in range(chance, 1, -1) if sum(any(lifts[w] >= n for w in words) for words in first) > len(toxic) / 3), 1)
+    bad = [w for words in first for w in words if lifts[w] >= sure_lift]
     hard: dict[str, None] = {}
     pool = sorted(in_bad.keys() - in_good.keys())
     for turn in range(ROUNDS):
-        repeated = sorted({w for w in bad if w and in_bad[w] > 1 and w not in in_good}, key=lambda w: (-in_bad[w], w))
-        sure = [w for w in bad if w and (turn or w in set(repeated))]
+        repeated = sorted({w for w in bad if lifts.get(w, 0) >= sure_lift and w not in in_good}, key=lambda w: (-lifts[w], w))
+        sure = bad if turn else [w for w in bad if w in set(repeated)]
         if not sure:
             break
         train(machine, [*hard, *every[:4000]], sure + [w for w in disguised(repeated, rng) if w not in in_good])
         value = dict(zip(pool, machine.margins(pool).tolist(), strict=True))
-        bad = [max(s, key=lambda w: (value.get(w, -9.0), w), default="") for s in toxic]
-        bad = [w if value.get(w, -9.0) > 0.25 else "" for w in bad]
+        told = [sorted((w for w in s if value.get(w, -9.0) > 0.25), key=lambda w: (-value[w], w))[:PER_TEXT] for s in toxic]
+        # only words of which a part is in other toxic texts too, and in hardly a clean one
+        bad = [w for words in told for w in words if lifts.get(w, 0) >= sure_lift]
         hard |= dict.fromkeys(every[i] for i in np.argsort(-machine.margins(every), kind="stable")[:1000])
     return machine
 
 
 def learn(texts: list[str], labels: np.ndarray) -> Machine:
-    """A machine trained on all texts, its probabilities fitted to texts that a machine of the other half has not seen."""
+    """A machine trained on all texts, its probabilities fitted to texts that a machine learned from the other parts has not seen."""
     sets, labels = [words_of(t) for t in texts], np.asarray(labels)
     machine = _trained(sets, labels)
-    half = np.arange(len(sets)) % 2
-    margins = np.zeros(len(sets))
-    for k in (0, 1):
-        other = _trained([s for s, h in zip(sets, half, strict=True) if h != k], labels[half != k])
-        unseen = np.flatnonzero(half == k)
-        margins[unseen] = [v for v, _ in other.top_of([sets[i] for i in unseen])]
     if len(set(labels.tolist())) < 2:
         machine.shift = -3.0
-    else:
-        calibrate(machine, margins, labels)
+        return machine
+    part = np.zeros(len(sets), int)  # each label is dealt evenly
+    for label in (0, 1):
+        rows = np.flatnonzero(labels == label)
+        part[rows] = np.arange(len(rows)) % FOLDS
+    margins = np.zeros(len(sets))
+    for k in range(FOLDS):
+        other = _trained([s for s, p in zip(sets, part, strict=True) if p != k], labels[part != k])
+        unseen = np.flatnonzero(part == k)
+        margins[unseen] = [v for v, _ in other.top_of([sets[i] for i in unseen])]
+    calibrate(machine, margins, labels)
     return machine
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> Machine:
-    """A machine learned from labelled texts: at most `sample_rows` of each label, by a hash of the id, of those of at
-    most `sample_chars` characters. `labels` has the id under the same name; other labels than 0 and 1 and null texts are not learned from."""
+    """A machine learned from labelled texts: at most `sample_rows` ids of each label, by a hash of the id, and at most
+    twice that many rows, of those of at most `sample_chars` characters. `labels` has the id under the same name; other labels than 0 and 1 and null texts are not learned from."""
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label in (0, 1)")
     rank = F.xxhash64("id")
     chosen = None
@@ -294,7 +332,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         part = known.where(F.col("label") == label).distinct().orderBy(rank, "id").limit(sample_rows)
         chosen = part if chosen is None else chosen.union(part)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(F.length("text") <= sample_chars)
-    sample = rows.join(F.broadcast(chosen), "id").toPandas().sort_values(["id", "text"])
+    # ids that many rows repeat give no more rows than the sample has, the first by a hash of id and text
+    sample = rows.join(F.broadcast(chosen), "id").orderBy(F.xxhash64("id", "text"), "id", "text").limit(2 * sample_rows).toPandas().sort_values(["id", "text"])
     return learn(sample.text.tolist(), sample.label.to_numpy())
 
 

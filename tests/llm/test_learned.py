@@ -176,3 +176,36 @@ def test_kth_largest(spark):
     values = [5, -3, 2**62, -(2**62), 0, 5, 7, -1]
     df = spark.createDataFrame([(v,) for v in values], "x long")
     assert [Q.kth_largest(df, "x", k) for k in range(1, 9)] == sorted(values, reverse=True)
+
+
+@pytest.mark.parametrize("sf, left_out", [("sf0.001", 1), ("sf0.001", None), ("sf0.01", 0), ("sf0.01", None)])
+def test_toxicity_of_every_split(sf, left_out):
+    """Whatever labels are learned from, texts without suspect words score low, few clean texts are taken for toxic, and insults are found."""
+    import zlib
+
+    import duckdb
+
+    from flowtables.llm import toxicity as T
+
+    texts = dict(duckdb.sql(f"select doc_id, text from '/root/testdata/{sf}/documents.parquet'").fetchall())
+    labels = dict(duckdb.sql(f"select doc_id, toxic from '/root/testdata/{sf}/labels.parquet'").fetchall())
+    rest = lambda i: zlib.crc32(str(i).encode()) % 3
+    seen = [i for i in sorted(labels) if rest(i) != left_out and len(texts[i]) <= T.SAMPLE_CHARS]
+    machine = T.learn([texts[i] for i in seen], np.array([labels[i] for i in seen]))
+    asked = [i for i in sorted(labels) if left_out is None or rest(i) == left_out]
+    got = machine.probability(np.array([v for v, _ in machine.top([texts[i] for i in asked])])) >= 0.7
+    toxic = np.array([labels[i] for i in asked]) == 1
+    assert machine.probability(np.array([v for v, _ in machine.top(["", None, " "])])).max() < 0.1
+    assert got[~toxic].mean() <= 0.05
+    assert got[toxic].mean() >= (0.5 if left_out is None else 0.3 if sf == "sf0.001" else 0.5)
+
+
+def test_toxicity_calibration_is_bounded():
+    from flowtables.llm import toxicity as T
+
+    machine = T.Machine(T.Alphabet(list("abc")))
+    apart = np.concatenate([np.full(500, -1.2), np.full(40, 1.0)])
+    for margins, labels in ((apart, (apart > 0).astype(int)), (apart, np.ones(540, int)), (np.zeros(2), np.array([0, 1])), (apart, (np.arange(540) % 7 == 0).astype(int)), (-apart, (apart > 0).astype(int))):
+        T.calibrate(machine, margins, labels)
+        low, high = machine.probability(np.array([-1.0, 1.0]))
+        assert low < 0.1 and high > 0.7 and T.SLOPES[0] <= machine.slope <= T.SLOPES[1]

@@ -56,15 +56,44 @@ def test_run_against_plain_python(spark, folder):
             key = x.strip(WHITE).translate(UPPER)
             if len(key) < 10 or seen.setdefault(key, i) == i:
                 kept.append(x)
-        lines[i] = "\n".join(kept)
-    gone = near(lines)
+        if "\n".join(kept).strip(" ") or len(kept) == len((left[i] or "").split("\n")):
+            lines[i] = "\n".join(kept)
+    gone = near({i: rows[i] for i in lines}) | near(lines)
     want = {i: t for i, t in lines.items() if i not in gone and item not in t}
     got = {r.doc_id: r for r in pipeline.run(spark, root).collect()}
     assert {i: r.text for i, r in got.items()} == want
     library = sentencepiece.SentencePieceProcessor(model_file="/opt/tokenizers/piece_bpe_32k.model")
     assert all(r.ids == (library.encode(r.text) if r.text else []) and r.n_tokens == len(r.ids) and r.n_chars == len(r.text) and r.score == 1.5 for r in got.values())
     assert {501, 600} & got.keys() == set() and {502, 503, 700, 701, 702} <= got.keys()
-    assert got[500].text == ""  # its only line stays in the first document
+    assert 500 not in got  # its only line stays in the first document
+
+
+def test_near_copies_that_share_lines(spark, prose, tmp_path):
+    """Copies whose shared lines have gone are still known for copies; what they have of their own does not save them."""
+    root = f"file://{tmp_path}"
+    body = [prose(i, 30) for i in range(12)]
+    rows = [(1, "\n".join(body)), (2, "\n".join([*body[:11], prose(50, 20)])), (3, "\n".join([prose(51, 25), *body[1:]])), (4, prose(52, 60)), (5, "\n".join(body[:4]) + "\n" + prose(53, 300))]
+    docs = spark.createDataFrame([(i, t, 7, len(t), 0.25, 1) for i, t in rows], "doc_id long, text string, n_lines int, n_chars long, score double, __score int")
+    docs.write.parquet(f"{root}/documents.parquet")
+    kept = pipeline.lines(spark, docs, root)
+    assert kept.columns == docs.columns and {r.n_lines for r in kept.collect()} == {7}
+    assert {r.doc_id for r in pipeline.near_duplicates(spark, kept, root).collect()} == {1, 4, 5}
+    clash, taken = pipeline.aside(docs, ["score"])
+    assert "score" not in clash.columns and pipeline.back(clash, docs.columns, taken).columns == docs.columns
+
+
+def test_rows_that_each_stage_leaves(spark):
+    """On given tables: clean documents stay, labelled toxic ones go, and no stage empties the corpus."""
+    root = "/root/testdata/sf0.01"
+    docs, seen = spark.read.parquet(f"{root}/documents.parquet"), {}
+    for name, stage in pipeline.STAGES[:4]:
+        docs = pipeline.cut(stage(spark, docs, root))
+        seen[name] = {r.doc_id for r in docs.select("doc_id").collect()}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{root}/labels.parquet").collect()}
+    clean, toxic = ({i for i, t in labels.items() if t == k} for k in (0, 1))
+    assert len(clean & seen["toxicity"]) >= 0.95 * len(clean) and len(toxic & seen["toxicity"]) <= 0.4 * len(toxic)
+    assert len(seen["line_dedup"]) >= 0.85 * len(seen["toxicity"])
+    assert len(seen["benchmark_decontamination"]) >= 0.7 * len(seen["toxicity"])
 
 
 def test_stages_keep_the_columns(spark, folder):
