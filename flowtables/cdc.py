@@ -23,9 +23,10 @@ def apply_changes(log: DataFrame, key: str, position: str, op: str = "op") -> Da
 
 
 def changes(old: DataFrame, new: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
-    """key, op and the values that lead from the old table to the new one: I and U with the new values, D with the old."""
-    a = old.select(F.col(key), F.struct(*values).alias("a"))
-    b = new.select(F.col(key), F.struct(*values).alias("b"))
-    op = F.when(F.col("a").isNull(), "I").when(F.col("b").isNull(), "D").when(~F.col("a").eqNullSafe(F.col("b")), "U")
-    both = a.join(b, key, "full").withColumn("op", op).where("op is not null")
-    return both.select(key, "op", F.coalesce("b", "a").alias("row")).select(key, "op", "row.*")
+    """key, op and the values that lead from the old table to the new one: I and U with the new values, D with the old. A null key is a key like others."""
+    a = old.select(F.col(key).alias("__a"), F.struct(*values).alias("a"), F.lit(True).alias("in_a"))
+    b = new.select(F.col(key).alias("__b"), F.struct(*values).alias("b"), F.lit(True).alias("in_b"))
+    op = F.when(F.col("in_a").isNull(), "I").when(F.col("in_b").isNull(), "D").when(~F.col("a").eqNullSafe(F.col("b")), "U")
+    both = a.join(b, F.col("__a").eqNullSafe(F.col("__b")), "full").withColumn("op", op).where("op is not null")
+    at = F.when(F.col("in_b").isNull(), F.col("__a")).otherwise(F.col("__b"))
+    return both.select(at.alias(key), "op", F.when(F.col("in_b").isNull(), F.col("a")).otherwise(F.col("b")).alias("row")).select(key, "op", "row.*")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowtables import sinks, streams, windows
+from flowtables import commits, sinks, streams, windows
 from flowtables.queries.base import query
 from flowtables.tables import read_table, work_dir
 
@@ -97,9 +97,10 @@ def deliver_batches(spark, sf_dir):
 def checkpoint_resume(spark, sf_dir):
     # two drops of the table; the second run reads only what has come since the first
     root = work_dir(spark)
+    out = commits.Table(spark, f"{root}/out")
     rows = read_table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     for part in (0, 1):
         sinks.append(rows.where(F.col("event_id") % 2 == part), f"{root}/in")
         stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
-        streams.run_available(stream, lambda batch, number: sinks.write_batch_once(batch, number, f"{root}/out"), f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/out").select("event_id", "event_type", "value")
+        streams.run_available(stream, out.append_once, f"{root}/checkpoint")
+    return out.read().select("event_id", "event_type", "value")

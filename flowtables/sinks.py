@@ -1,13 +1,10 @@
-"""Write modes of tables: append, overwrite, upsert, change log, once per batch, compaction, schema evolution."""
+"""Plain writes, encoding, partition transforms, compaction, schema evolution; tables with versions, upserts and batches that count once are in `commits`."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BUCKET = "bucket_"
-
-
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
@@ -16,34 +13,6 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-
-
-def create_keyed(df: DataFrame, path: str, key: str, buckets: int = 64) -> None:
-    """A table laid out by buckets of its key, the target of `upsert`."""
-    bucketed(df, key, buckets).repartition(BUCKET).write.partitionBy(BUCKET).parquet(path)
-
-
-def upsert(batch: DataFrame, path: str, key: str, order: str, buckets: int = 64) -> None:
-    """Put a batch's last row of each key into a keyed table; only buckets that the batch touches are read and rewritten."""
-    spark = batch.sparkSession
-    rest = [c for c in batch.columns if c != key]
-    new = bucketed(batch.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("__r")).select(key, "__r.*"), key, buckets)
-    touched = [r[0] for r in new.select(BUCKET).distinct().collect()]  # at most `buckets`
-    old = spark.read.parquet(path).where(F.col(BUCKET).isin(touched))
-    merged = old.join(new.select(key), key, "left_anti").unionByName(new.select(*old.columns))
-    # a table cannot be overwritten while it is read, so the new buckets are kept apart first
-    from flowtables.tables import cut
-
-    cut(merged).repartition(BUCKET).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(BUCKET).parquet(path)
-
-
-def write_batch_once(batch: DataFrame, number: int, path: str) -> None:
-    """Write a batch under its number: one that is delivered again replaces itself."""
-    batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
-
-
 def without_repeats(df: DataFrame, keys: list[str], watermarked: bool = False) -> DataFrame:
     """One row per key; on a stream with a watermark the state is bounded by it."""
     return df.dropDuplicatesWithinWatermark(keys) if watermarked else df.dropDuplicates(keys)

@@ -6,7 +6,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from flowtables import analytics, cdc, ingest, sinks, streams, types, watermark, windows
+from flowtables import analytics, cdc, commits, ingest, sinks, streams, types, watermark, windows
 from flowtables.aggregates import ema
 from flowtables.ordered import over_rows, positions, running_max
 from flowtables.queries import QUERIES
@@ -74,6 +74,76 @@ def test_json_payload_forms(spark):
     assert sorted(r.a for r in ingest.json_rows(df, "p", "a long").collect()) == [1, 2, 3, 4, 5]
 
 
+def records(df):
+    return sorted(((r.problem, tuple(r.parsed) if r.problem is None else r.record) for r in df.collect()), key=repr)
+
+
+def test_json_problems(spark):
+    good = [None, (1, "a")]
+    cases = [
+        ('[{"a":1,"b":"a"}, oops]', [("malformed", '[{"a":1,"b":"a"}, oops]')]),
+        ('{"a":1,"b":"a"}\nnot json\n\n', [("malformed", "not json"), (None, (1, "a"))]),
+        ('{\n "a": 1,\n "b": "a"\n}', [(None, (1, "a"))]),
+        ('[{"a":1,"b":"a"},{"a":"x"},3]', [("malformed", '{"a":"x"}'), ("malformed", "3"), (None, (1, "a"))]),
+        ("[]", [("empty", "")]),
+        ("", [("empty", "")]),
+        (None, [("empty", "")]),
+        ('{"a":1', [("malformed", '{"a":1')]),
+    ]
+    for text, want in cases:
+        df = spark.createDataFrame([(text,)], "p string")
+        assert records(ingest.json_records(df, "p", "a long, b string")) == sorted(want, key=repr), (text, good)
+    both = spark.createDataFrame([(t,) for t, _ in cases], "p string")
+    rows, dead = ingest.dead_letters(ingest.json_records(both, "p", "a long, b string"))
+    assert rows.count() + dead.count() == sum(len(w) for _, w in cases)
+    for text in ("not json", '{"a":"x"}'):
+        with pytest.raises(Exception, match="malformed payload"):
+            ingest.json_rows(spark.createDataFrame([(text,)], "p string"), "p", "a long").collect()
+    with pytest.raises(Exception, match="empty payload"):
+        ingest.json_rows(spark.createDataFrame([("[]",)], "p string"), "p", "a long", empty=False).collect()
+
+
+def test_csv_problems(spark):
+    cases = [
+        ("b,a,c\r\nx,1,0.5\r\n", [(None, (1, "x", 0.5))]),
+        ('a,b,c\n1,"two\nlines, ""quoted""",2.5\n\n2,,\n', [(None, (1, 'two\nlines, "quoted"', 2.5)), (None, (2, None, None))]),
+        ("a,b,c\n1,x\n2,y,1.0,9\n3,z,1.5", [("malformed", "1,x"), ("malformed", "2,y,1.0,9"), (None, (3, "z", 1.5))]),
+        ("a,b,c\none,x,1\n2,y,2", [("malformed", "one,x,1"), (None, (2, "y", 2.0))]),
+        ('a,b,c\n1,"open,2\n', [("malformed", 'a,b,c\n1,"open,2\n')]),
+        ("a,b\n1,x\n", [("malformed", "a,b\n1,x\n")]),
+        ('a,b,c\n1,x"y"z,2', [("malformed", '1,x"y"z,2')]),
+        ('a,extra,b,c\n1,?,"",2', [(None, (1, "", 2.0))]),
+        ("a,b,c\n", [("empty", "")]),
+        ("", [("empty", "")]),
+        (None, [("empty", "")]),
+    ]
+    for text, want in cases:
+        df = spark.createDataFrame([(text,)], "p string")
+        assert records(ingest.csv_records(df, "p", "a long, b string, c double")) == sorted(want, key=repr), text
+    with pytest.raises(Exception, match="malformed payload"):
+        ingest.csv_rows(spark.createDataFrame([("a\nx",)], "p string"), "p", "a long").collect()
+
+
+def test_columnar_problems(spark):
+    cases = [('{"a":[1,2],"b":["x","y"]}', [(None, (1, "x")), (None, (2, "y"))]), ('{"a":[1,2],"b":["x"]}', None), ('{"a":[1]}', None), ("oops", None), ('{"a":["x"],"b":["x"]}', None), (None, None)]
+    for text, want in cases:
+        df = spark.createDataFrame([(text,)], "p string")
+        assert records(ingest.columnar_records(df, "p", {"a": "bigint", "b": "string"})) == (want or [("malformed", text)])
+
+
+def test_csv_schema_over_all_rows(spark):
+    texts = ['i,d,s,b,t,u,none\n1,1,x,true,2024-01-01,2024-01-01 10:00:00,\n2,2.5,1,FALSE,2024-02-03,2024-01-02,', 'b,i,d,s,t,u,none\ntrue,-7,1e3,"a\nb",2023-12-31,2020-01-01T00:00:00,', "m\n1\ntrue"]
+    got = {r.column: r.type for r in ingest.csv_schema(spark.createDataFrame([(t,) for t in texts], "p string"), "p").collect()}
+    assert got == {"i": "bigint", "d": "double", "s": "string", "b": "boolean", "t": "date", "u": "timestamp", "none": "string", "m": "string"}
+
+
+def test_changes_of_null_keys(spark):
+    old = spark.createDataFrame([(None, "x"), (1, "y")], "k int, v string")
+    new = spark.createDataFrame([(None, "x"), (1, "z")], "k int, v string")
+    assert {(r.k, r.op, r.v) for r in cdc.changes(old, new, "k", ["v"]).collect()} == {(1, "U", "z")}
+    assert {(r.k, r.op, r.v) for r in cdc.changes(old, new.where("k = 1"), "k", ["v"]).collect()} == {(1, "U", "z"), (None, "D", "x")}
+
+
 def test_malformed_fails_fast(spark):
     df = spark.createDataFrame([("not json",)], "p string")
     assert ingest.split_malformed(df, "p", "k long").first().malformed
@@ -159,15 +229,15 @@ def test_ema_is_sequential(spark):
         assert ema(df, "k", "v", ["i"], F.floor(F.col("i") / width), 0.3).first().ema == pytest.approx(want)
 
 
-def test_upsert_touches_only_its_buckets(spark):
-    path = work_dir(spark)
-    sinks.create_keyed(spark.createDataFrame([(i, 0, 0) for i in range(50)], "k long, v int, o int"), path, "k", 8)
-    files = lambda: {r[0] for r in spark.read.parquet(path).select(F.input_file_name()).distinct().collect()}
+def test_upsert_leaves_old_files(spark):
+    table = commits.Table(spark, work_dir(spark))
+    table.append(spark.createDataFrame([(i, 0, 0) for i in range(50)], "k long, v int, o int"))
+    files = lambda: {r[0] for r in spark.read.option("recursiveFileLookup", "true").parquet(f"{table.root}/data").select(F.input_file_name()).distinct().collect()}
     before = files()
-    sinks.upsert(spark.createDataFrame([(7, 1, 1), (7, 2, 2), (99, 5, 1)], "k long, v int, o int"), path, "k", "o", 8)
-    got = {r.k: r.v for r in spark.read.parquet(path).collect()}
-    assert got == {**{i: 0 for i in range(50)}, 7: 2, 99: 5}
-    assert len(before & files()) >= len(before) - 2
+    table.upsert(spark.createDataFrame([(7, 1, 1), (7, 2, 2), (99, 5, 1)], "k long, v int, o int"), ["k"], ["o"])
+    got = [(r.k, r.v) for r in table.read().collect()]
+    assert sorted(got) == sorted({**{i: 0 for i in range(50)}, 7: 2, 99: 5}.items())
+    assert before <= files()
 
 
 def feed(spark, path, rows):
@@ -192,11 +262,12 @@ def test_errors_stop_unless_handled(spark):
 
 def test_resume_reads_only_new_files(spark):
     root = work_dir(spark)
+    out = commits.Table(spark, f"{root}/out")
     for part in range(3):
         feed(spark, f"{root}/in", [(part, "x")])
         stream = spark.readStream.schema("id long, v string").parquet(f"{root}/in")
-        streams.run_available(stream, lambda b, n: sinks.write_batch_once(b, n, f"{root}/out"), f"{root}/checkpoint")
-    assert {(r.id, r.batch) for r in spark.read.parquet(f"{root}/out").collect()} == {(0, 0), (1, 1), (2, 2)}
+        streams.run_available(stream, out.append_once, f"{root}/checkpoint")
+    assert {(r.id, r.version) for r in out.added(-1).collect()} == {(0, 0), (1, 1), (2, 2)}
 
 
 def test_stream_is_like_batch(spark):
