@@ -35,10 +35,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """A text column as one byte array and the n + 1 offsets of its rows; null counts as empty."""
+    """A text or binary column as one byte array and the n + 1 offsets of its rows; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
+    column = pc.fill_null(column.cast(pa.large_binary() if binary else pa.large_string()), b"" if binary else "")
     _, offsets, data = column.buffers()
     if offsets is None or not len(column):
         return np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64)

@@ -7,13 +7,16 @@ classes have too send one copy of their text.
 
 These texts are sorted as suffixes, in batches of whole anchors: ranks by 8 bytes are doubled to LENGTH. The LCP of neighbours comes from
 the same ranks, and for each suffix the previous and the next one in suffix order with a smaller position in the corpus give
-the longest earlier match (the longest previous factor); those with a larger position give the longest later one. An anchor with very
-many classes is dealt into blocks, each sorted on its own, and the strings that a block has found are then held against the other
-blocks' by their hashes.
+the longest earlier match (the longest previous factor); those with a larger position give the longest later one. The classes of an anchor
+with very many are taken apart once more, by anchors nearly as long as the string: most of these are a class's own, and what is left is
+short. Where there are still very many they are dealt into blocks, each sorted on its own, and a block's strings are then held against
+the other blocks' by their hashes.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,7 +26,10 @@ from flowtables.llm.common import BYTE_WORDS, ODD, mix, slices, utf8
 from flowtables.tables import cut
 
 LENGTH, GRAM, PIECE, BLOCK, BATCH = 400, 100, 1 << 17, 512, 1 << 19
+# an anchor with more classes than a block holds is taken apart by anchors this much shorter than the string
+LONG_GRAM = 32
 ODD2 = np.uint64(0xD1342543DE82EF95)
+PLACE = np.uint64((1 << 20) - 1)  # pieces are shorter
 LAST = (1 << 63) - 1
 
 
@@ -48,31 +54,16 @@ class Hashes:
 
 
 def least_in_window(values: np.ndarray, width: int) -> np.ndarray:
-    """The first place of the least value in every run of `width` values: prefix and suffix minima of blocks of that width."""
+    """The place of the least value in every run of `width` values, by their upper bits and the first of equal ones: the
+    places stand in the lower bits, and the minima come from prefix and suffix minima of blocks of that width."""
     n = len(values) - width + 1
     blocks = -(-len(values) // width)
     padded = np.full(blocks * width, np.iinfo(np.uint64).max, np.uint64)
-    padded[: len(values)] = values
+    padded[: len(values)] = values & ~PLACE | np.arange(len(values), dtype=np.uint64)
     grid = padded.reshape(blocks, width)
     ahead = np.minimum.accumulate(grid, axis=1).ravel()
     behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-    least = np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
-    # the next place at or after the start that holds this value: places of falling minima from the right
-    order = np.lexsort((np.arange(len(values)), values))
-    ranked = values[order]
-    low = np.searchsorted(ranked, least, "left")
-    place = order[low]
-    early = np.flatnonzero(place < np.arange(n))
-    if len(early):  # the value repeats: the first of its places not before the start
-        pair = np.searchsorted(_pairs(ranked, order), _pairs(least[early], early))
-        place[early] = order[pair]
-    return place
-
-
-def _pairs(values: np.ndarray, places: np.ndarray) -> np.ndarray:
-    out = np.empty(len(values), [("v", "u8"), ("at", "i8")])
-    out["v"], out["at"] = values, places
-    return out
+    return (np.minimum(behind[:n], ahead[width - 1 : width - 1 + n]) & PLACE).astype(np.int64)
 
 
 def stretches(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -90,71 +81,79 @@ def stretches(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]
     return first, last, grams[place[first]], mix(one.of(first, last + length) + size), mix(two.of(first, last + length) + size * ODD)
 
 
+RUNS = "d1 long, d2 long, id long, origin long, copies long, first long, last long, anchor long, h1 long, h2 long"
+
+
 def _anchored(length: int, gram: int, piece: int):
-    """Batches of (d1, d2, id, text) to a row per stretch; long texts go piece by piece, each with the bytes its last strings reach into."""
+    """Batches of (d1, d2, id, origin, copies, text), a text that begins at byte origin of its document, to a row per stretch.
+
+    Long texts go piece by piece, each with the bytes its last strings reach into.
+    """
 
     def run(batches):
         for part in slices(batches, "text"):
             raw, ends = utf8(part.column("text"))
+            origin = part.column("origin").to_pylist()
             rows = []
             for i, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
                 for at in range(a, max(b - length + 1, a), piece):
                     first, last, anchor, h1, h2 = stretches(raw[at : min(b, at + piece + length - 1)], length, gram)
-                    rows.append((np.full(len(first), i), first + at - a, last + at - a, anchor, h1, h2))
+                    rows.append((np.full(len(first), i), first + (at - a + origin[i]), last + (at - a + origin[i]), anchor, h1, h2))
             if rows:
                 i, first, last, anchor, h1, h2 = (np.concatenate(x) for x in zip(*rows, strict=True))
-                doc = [part.column(c).take(pa.array(i)) for c in ("d1", "d2", "id")]
-                yield pa.RecordBatch.from_arrays([*doc, *[pa.array(x) for x in (first, last, anchor.view(np.int64), h1.view(np.int64), h2.view(np.int64))]], ["d1", "d2", "id", "first", "last", "anchor", "h1", "h2"])
+                doc = [part.column(c).take(pa.array(i)) for c in ("d1", "d2", "id", "origin", "copies")]
+                names = [c.split()[0] for c in RUNS.split(", ")]
+                yield pa.RecordBatch.from_arrays([*doc, *[pa.array(x) for x in (first, last, anchor.view(np.int64), h1.view(np.int64), h2.view(np.int64))]], names)
 
     return run
 
 
-def suffix_order(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """The order of the suffixes of all strings raw[start:end], by their first `length` bytes, and the LCP of each with the one before it
-    (at most `length`). Bytes beyond a string's end sort before all others and match nothing."""
-    n = int((ends - starts).sum())
+def suffix_order(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The suffixes of all strings raw[start:end] that have `length` bytes, sorted by these: their places in the strings put one after the
+    other, their order, and the LCP of each with the one before it (at most `length`).
+
+    Ranks of 8 bytes are doubled. A place has a rank for a width if as many bytes follow in its string.
+    """
     size = ends - starts
-    own = np.repeat(np.arange(len(starts)), size)
+    n = int(size.sum())
     begin = np.cumsum(size) - size
     text = raw[np.arange(n) - np.repeat(begin, size) + np.repeat(starts, size)]
     left = np.repeat(begin + size, size) - np.arange(n)  # bytes to the string's end
-    key = np.zeros(n, np.uint64)
     following = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
-    for j in range(8):
-        key = (key << np.uint64(8)) | np.where(left > j, following[j : n + j], np.uint64(0))
-    # a string that ends within the 8 bytes is like no other, so that nothing matches beyond an end
-    short = left < 8
-    order = np.lexsort((np.where(short, own + 1, 0), np.where(short, left, 8), key))
-    tail = np.where(short, own + 1, 0)
-    differ = (key[order[1:]] != key[order[:-1]]) | (left[order[1:]] != left[order[:-1]]) & (short[order[1:]] | short[order[:-1]]) | (tail[order[1:]] != tail[order[:-1]])
-    rank = np.empty(n, np.int64)
-    rank[order] = np.concatenate([[0], np.cumsum(differ)])
-    ranks, width = [(8, rank)], 8
+    width = min(8, length)
+    key = np.zeros(n, np.uint64)
+    for j in range(width):
+        key = (key << np.uint64(8)) | following[j : n + j]
+
+    def ranked(values, at):
+        order = np.argsort(values)
+        ordered = values[order]
+        rank = np.full(n, -1, np.int64)
+        rank[at[order]] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]])[: len(order)])
+        return rank, order
+
+    at = np.flatnonzero(left >= width)
+    rank, order = ranked(key[at], at)
+    ranks = [(width, rank)]
     while width < length:
         step = min(width, length - width)
-        ahead = np.full(n, -1, np.int64)
-        ok = left > step
-        ahead[ok] = rank[np.flatnonzero(ok) + step]
-        both = rank * (n + 1) + ahead + 1
-        order = np.argsort(both, kind="stable")
-        new = np.empty(n, np.int64)
-        new[order] = np.concatenate([[0], np.cumsum(both[order[1:]] != both[order[:-1]])])
-        rank, width = new, width + step
+        width += step
+        at = np.flatnonzero(left >= width)
+        rank, order = ranked(rank[at] * (n + 1) + rank[at + step], at)
         ranks.append((width, rank))
-    a, b = order[:-1], order[1:]
-    matched = np.zeros(max(n - 1, 0), np.int64)
-    full = rank[a] == rank[b]
+    a, b = at[order[:-1]], at[order[1:]]
+    matched = np.where(rank[a] == rank[b], length, 0)
     for width, r in reversed(ranks[:-1]):
-        room = (left[a] > matched) & (left[b] > matched)
+        fits = matched + width <= length
         equal = np.zeros(len(a), bool)
-        equal[room] = r[a[room] + matched[room]] == r[b[room] + matched[room]]
+        equal[fits] = r[a[fits] + matched[fits]] == r[b[fits] + matched[fits]]
         matched += np.where(equal, width, 0)
     for _ in range(7):  # what is left of less than 8 bytes
-        room = (left[a] > matched) & (left[b] > matched)
+        fits = matched < length
         equal = np.zeros(len(a), bool)
-        equal[room] = text[a[room] + matched[room]] == text[b[room] + matched[room]]
+        equal[fits] = text[a[fits] + matched[fits]] == text[b[fits] + matched[fits]]
         matched += equal
-    return order, np.concatenate([[0], np.where(full, length, np.minimum(matched, length))])[: n]
+    return at, order, np.concatenate([[0], matched])[: len(at)]
 
 
 def nearest_smaller(position: np.ndarray, lcp: np.ndarray, least: int) -> np.ndarray:
@@ -214,19 +213,17 @@ def _sorted_batch(rows: list[dict], length: int, keep_first: bool) -> pa.RecordB
     size = np.array(list(map(len, texts)))
     ends = np.cumsum(size)
     starts = ends - size
-    order, lcp = suffix_order(raw, starts, ends, length)
-    own = np.repeat(np.arange(len(rows)), size)
-    offset = np.arange(len(raw)) - starts[own]
+    at, order, lcp = suffix_order(raw, starts, ends, length)
+    own = np.repeat(np.arange(len(rows)), size)[at]
+    offset = at - starts[own]
     # positions in the corpus: by document, then by byte
     first = np.array([r["first"] for r in rows])
     by_doc = np.lexsort((first, [r["d2"] for r in rows], [r["d1"] for r in rows], [r["id"] for r in rows]))
     doc = np.empty(len(rows), np.int64)
     changed = [any(rows[a][c] != rows[b][c] for c in ("id", "d1", "d2")) for a, b in zip(by_doc, by_doc[1:], strict=False)]
     doc[by_doc] = np.concatenate([[0], np.cumsum(changed)])
-    position = doc[own] * (1 << 40) + first[own] + offset
-    earlier, later = longest_factors(order, lcp, position, length)
-    start_here = offset <= (size - length)[own]
-    gone = start_here & ((earlier >= length) if keep_first else (earlier >= length) | (later >= length))
+    earlier, later = longest_factors(order, lcp, doc[own] * (1 << 40) + first[own] + offset, length)
+    gone = (earlier >= length) if keep_first else (earlier >= length) | (later >= length)
     whole = np.array([r["copies"] > 1 for r in rows])
     if not keep_first:
         gone &= ~whole[own]  # all their starts are known to repeat
@@ -237,12 +234,12 @@ def _sorted_batch(rows: list[dict], length: int, keep_first: bool) -> pa.RecordB
     parts = [[["found"] * n, pick(h1, cls), pick(h2, cls), (first[cls] + lo).tolist(), (first[cls] + hi).tolist(), pick(d1, cls), pick(d2, cls), pick(ids, cls), [0] * n, [0] * n, [False] * n]]
     hot = np.array([r["blocks"] > 1 for r in rows])
     if hot.any():
-        at = np.flatnonzero(start_here & hot[own] & (earlier < length))
-        w1, w2 = (Hashes(raw, b).of(at, at + length).view(np.int64).tolist() for b in (ODD, ODD2))
-        alone = ((later[at] < length) & ~whole[own[at]]) | keep_first
-        place = (first[own[at]] + offset[at]).tolist()
-        o = own[at]
-        parts.append([["block"] * len(at), pick(h1, o), pick(h2, o), place, place, pick(d1, o), pick(d2, o), pick(ids, o), w1, w2, alone.tolist()])
+        some = np.flatnonzero(hot[own] & (earlier < length))
+        w1, w2 = (Hashes(raw, b).of(at[some], at[some] + length).view(np.int64).tolist() for b in (ODD, ODD2))
+        alone = ((later[some] < length) & ~whole[own[some]]) | keep_first
+        place = (first[own[some]] + offset[some]).tolist()
+        o = own[some]
+        parts.append([["block"] * len(some), pick(h1, o), pick(h2, o), place, place, pick(d1, o), pick(d2, o), pick(ids, o), w1, w2, alone.tolist()])
     columns = [sum(c, []) for c in zip(*parts, strict=True)]
     names = [c.split()[0] for c in RESULT.split(", ")]
     kinds = [pa.string(), *[pa.int64()] * 9, pa.bool_()]
@@ -284,7 +281,8 @@ def _fragments(length: int):
             flat = wanted.flatten()
             count = np.diff(wanted.offsets.to_numpy())
             row = np.repeat(np.arange(part.num_rows), count)
-            first, last = (flat.field(c).to_numpy() for c in ("first", "last"))
+            origin = part.column("origin").to_numpy()[row]
+            first, last = (flat.field(c).to_numpy() - origin for c in ("first", "last"))
             text = [raw[a:b].tobytes() for a, b in zip(ends[row] + first, ends[row] + last + length, strict=True)]
             yield pa.RecordBatch.from_arrays([flat.field("anchor"), flat.field("h1"), flat.field("h2"), pa.array(text, pa.binary())], ["anchor", "h1", "h2", "text"])
 
@@ -297,36 +295,53 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, *others: str) -> DataFra
     return docs.select(*others, F.xxhash64(key, text).alias("d1"), F.xxhash64(F.lit(5), text, key).alias("d2"), F.coalesce(key, F.lit(LAST)).alias("id"), text.alias("text"))
 
 
-def repeated_starts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, keep_first: bool = False, piece: int = PIECE, block: int = BLOCK, batch_bytes: int = BATCH) -> DataFrame:
+def repeated_starts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, keep_first: bool = False, piece: int = PIECE, block: int = BLOCK, batch_bytes: int = BATCH, spread: int = LONG_GRAM) -> DataFrame:
     """(d1, d2, first, last): runs of starts, in the document with these hashes of id and text, of strings of `length` bytes that start
     elsewhere too, or, with `keep_first`, that start earlier too. Runs may overlap.
 
     A string's places are ordered by id (null last) and byte. Rows that repeat both an id and a text count as copies of each other, but with
     `keep_first` stand at the same place and are treated alike.
     """
-    base = _keyed(docs, id_col, text_col)
-    runs = cut(base.where(F.octet_length("text") >= length).mapInArrow(_anchored(length, gram, piece), "d1 long, d2 long, id long, first long, last long, anchor long, h1 long, h2 long"))
-    place = F.min(F.struct("id", "d1", "d2", "first", "last"))
-    classes = cut(runs.groupBy("anchor", "h1", "h2").agg(F.count("*").alias("copies"), place.alias("at")))
-    many = cut(classes.groupBy("anchor").agg(F.count("*").alias("classes")).where("classes > 1"))
-    # classes beside others under their anchor, with the place of one copy to take the text from
-    met = cut(classes.join(many, "anchor").select("anchor", "h1", "h2", "copies", "at.*", F.ceil(F.col("classes") / block).cast("int").alias("blocks")))
-    wanted = met.groupBy("d1", "d2").agg(F.collect_list(F.struct("anchor", "h1", "h2", "first", "last")).alias("wanted"))
-    texts = base.select("d1", "d2", "text").join(wanted, ["d1", "d2"]).dropDuplicates(["d1", "d2"]).select("text", "wanted").mapInArrow(_fragments(length), "anchor long, h1 long, h2 long, text binary")
-    dealt = met.join(texts, ["anchor", "h1", "h2"]).withColumn("block", F.pmod("h1", "blocks"))
-    steps = cut(dealt.select("anchor", "block", "blocks", "h1", "h2", "copies", "id", "d1", "d2", "first", "text").repartition("anchor", "block").sortWithinPartitions("anchor", "block").mapInArrow(_suffix_sorted(length, keep_first, batch_bytes), RESULT))
-    found = steps.where("kind = 'found'").select("d1", "d2", "first", "last")
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    base = _keyed(docs, id_col, text_col).withColumns({"origin": zero, "copies": one})
+    found, texts = [], base.where(F.octet_length("text") >= length)
+    for size in (gram, max(length - spread, gram)):
+        last = size != gram or length - spread <= gram
+        runs, classes, met, dealt = _dealt(texts, length, size, piece)
+        copied = classes.where("copies > 1")
+        if keep_first:
+            # all copies but the first, whose strings are looked at one by one
+            again = runs.join(copied.select("anchor", "h1", "h2", "at"), ["anchor", "h1", "h2"]).where(F.struct("id", "d1", "d2", "first", "last") != F.col("at"))
+        else:
+            again = runs.join(copied, ["anchor", "h1", "h2"], "left_semi")
+        found.append(again.select("d1", "d2", "first", "last"))
+        blocks = F.ceil(F.col("classes") / block).cast("int")
+        sorted_here = dealt if last else dealt.where(F.col("classes") <= block)
+        steps = sorted_here.withColumn("blocks", blocks).withColumn("block", F.pmod("h1", "blocks")).repartition("anchor", "block").sortWithinPartitions("anchor", "block")
+        steps = cut(steps.select("anchor", "block", "blocks", "h1", "h2", "copies", "id", "d1", "d2", "first", "text").mapInArrow(_suffix_sorted(length, keep_first, batch_bytes), RESULT))
+        found.append(steps.where("kind = 'found'").select("d1", "d2", "first", "last"))
+        texts = dealt.where(F.col("classes") > block).select("d1", "d2", "id", F.col("first").alias("origin"), "copies", "text")
+        if last or not texts.take(1):
+            break
     blocked = steps.where("kind = 'block'")
     where = F.struct("id", "d1", "d2", "first")
     again = blocked.groupBy("w1", "w2").agg(F.count("*").alias("n"), F.min(where).alias("earliest")).where("n > 1")
     across = blocked.where("alone").join(again, ["w1", "w2"])
-    if keep_first:
-        # copies of a whole stretch, but for the first of them, whose strings have been looked at one by one
-        across = across.where(where != F.col("earliest"))
-        copies = runs.join(classes.where("copies > 1").select("anchor", "h1", "h2", "at"), ["anchor", "h1", "h2"]).where(F.struct("id", "d1", "d2", "first", "last") != F.col("at"))
-    else:
-        copies = runs.join(classes.where("copies > 1").select("anchor", "h1", "h2"), ["anchor", "h1", "h2"], "left_semi")
-    return found.union(across.select("d1", "d2", "first", "last")).union(copies.select("d1", "d2", "first", "last"))
+    found.append((across.where(where != F.col("earliest")) if keep_first else across).select("d1", "d2", "first", "last"))
+    return reduce(DataFrame.union, found)
+
+
+def _dealt(texts: DataFrame, length: int, gram: int, piece: int) -> tuple[DataFrame, ...]:
+    """The stretches of some texts, their classes, the classes that meet others under their anchor, and these with their text and the number of classes there."""
+    runs = cut(texts.select("d1", "d2", "id", "origin", "copies", "text").mapInArrow(_anchored(length, gram, piece), RUNS))
+    place = F.min(F.struct("id", "d1", "d2", "first", "last", "origin"))
+    classes = cut(runs.groupBy("anchor", "h1", "h2").agg(F.sum("copies").alias("copies"), place.alias("place")).withColumn("at", F.struct("place.id", "place.d1", "place.d2", "place.first", "place.last")))
+    many = cut(classes.groupBy("anchor").agg(F.count("*").alias("classes")).where("classes > 1"))
+    met = cut(classes.drop("at").join(many, "anchor").select("anchor", "h1", "h2", "copies", "classes", "place.*"))
+    wanted = met.groupBy("d1", "d2", "origin").agg(F.collect_list(F.struct("anchor", "h1", "h2", "first", "last")).alias("wanted"))
+    found = texts.select("d1", "d2", "origin", "text").join(wanted, ["d1", "d2", "origin"]).dropDuplicates(["d1", "d2", "origin"])
+    found = found.select("text", "origin", "wanted").mapInArrow(_fragments(length), "anchor long, h1 long, h2 long, text binary")
+    return runs, classes, met, cut(met.join(found, ["anchor", "h1", "h2"]))
 
 
 def _cut_out(columns: list[str], length: int):
