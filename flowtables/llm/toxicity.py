@@ -13,6 +13,7 @@ all words of a corpus costs a few table look-ups per letter.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import batched
 
@@ -26,7 +27,7 @@ from flowtables.llm.common import slices
 
 SPAN, DECAY, LETTERS, LONG = 6, 0.75, 64, 24
 SAMPLE_ROWS, SAMPLE_CHARS, NEGATIVES, LANDMARKS, ROUNDS = 1500, 8_000, 100_000, 512, 4
-GRAMS, SLOPES, EVEN, FOLDS, PER_TEXT = range(4, 8), (2.6, 12.0), (0.0, 0.55), 3, 8
+GRAMS, SLOPES, EVEN, FOLDS, PER_TEXT, SEED_TEXTS = range(4, 8), (2.6, 12.0), (0.0, 0.55), 2, 8, 300
 STEPS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
 # (letters, step) of the stretches that a longer word is also looked at in; each holds any run of letters - step + 1 whole
 STRETCHES, AT_ONCE = ((12, 4), (LONG, 8)), 20_000
@@ -180,9 +181,11 @@ def train(machine: Machine, good: list[str], bad: list[str], ridge: float = 1e-4
     own, vectors = np.linalg.eigh((base @ base.T).astype(np.float64))
     keep = own > 1e-6 * own.max()
     whiten = vectors[:, keep] / np.sqrt(own[keep])
-    words = bad + good
-    y = np.concatenate([np.ones(len(bad)), -np.ones(len(good))])
-    cost = np.where(y > 0, 1 / max(1, len(bad)), 3 / max(1, len(good)))
+    # a word that many texts have is one row that counts as often
+    often = Counter(bad)
+    words = [*often, *good]
+    y = np.concatenate([np.ones(len(often)), -np.ones(len(good))])
+    cost = np.concatenate([np.fromiter(often.values(), float, len(often)) / max(1, len(bad)), np.full(len(good), 3 / max(1, len(good)))])
     row, place, weight = kernel_rows(words, alphabet, known)
     kernel, columns = np.zeros((len(words), len(landmarks)), np.float32), np.ascontiguousarray(base.T)
     for at in range(0, len(words), 128):
@@ -253,7 +256,6 @@ def _trained(sets: list[set[str]], labels: np.ndarray) -> Machine:
     The first round takes from each toxic text the words with the parts that most toxic and fewest clean texts have. From clean texts come the
     words with the highest values so far, and some others.
     """
-    letters: dict[str, int] = {}
     in_bad: dict[str, int] = {}
     in_good: dict[str, int] = {}
     grams_bad: dict[str, int] = {}
@@ -262,27 +264,25 @@ def _trained(sets: list[set[str]], labels: np.ndarray) -> Machine:
         counts = in_bad if label else in_good
         for w in s:
             counts[w] = counts.get(w, 0) + 1
-        if label:
-            for g in set().union(*map(substrings, s)):
-                grams_bad[g] = grams_bad.get(g, 0) + 1
-    for s, label in zip(sets, labels, strict=True):
-        if not label:
-            for g in set().union(*map(substrings, s)):
-                if g in grams_bad:
-                    grams_good[g] = grams_good.get(g, 0) + 1
-    for w in [*in_good, *in_bad]:
-        for c in w:
-            letters[c] = letters.get(c, 0) + 1
+    # parts are counted in the first SEED_TEXTS of each label: enough to begin with
+    some = {k: [s for s, label in zip(sets, labels, strict=True) if label == k][:SEED_TEXTS] for k in (1, 0)}
+    for s in some[1]:
+        for g in set().union(*map(substrings, s)):
+            grams_bad[g] = grams_bad.get(g, 0) + 1
+    for s in some[0]:
+        for g in set().union(*map(substrings, s)) & grams_bad.keys():
+            grams_good[g] = grams_good.get(g, 0) + 1
+    letters = Counter("".join([*in_good, *in_bad]))
     machine = Machine(Alphabet([c for c in sorted(letters, key=lambda c: (-letters[c], c)) if c.isalpha()]))
     toxic = [s for s, l in zip(sets, labels, strict=True) if l]
     rng = np.random.default_rng(1)
     every = sorted(in_good)
     every = [every[i] for i in rng.permutation(len(every))[:NEGATIVES]]
-    lift = lambda w: max(grams_bad[g] / (1 + 20 * grams_good.get(g, 0)) for g in substrings(w))
-    lifts = {w: lift(w) for w in in_bad if len(w) > 2}
+    telling = {g: n / (1 + 20 * grams_good.get(g, 0)) for g, n in grams_bad.items() if n > 1 + 20 * grams_good.get(g, 0)}
+    lifts = {w: max((telling[g] for g in substrings(w) if g in telling), default=0.0) for w in in_bad if len(w) > 2}
     first = [sorted((w for w in s if len(w) > 2), key=lambda w: (-lifts[w], w))[:PER_TEXT] for s in toxic]
     # parts that so many toxic and no clean texts have are hardly there by chance; fewer where a third of the toxic texts has none
-    share = max(len(toxic), 1) / max(len(sets), 1)
+    share = max(len(some[1]), 1) / max(len(some[1]) + len(some[0]), 1)
     chance = min(8, max(2, int(np.ceil(np.log(100) / -np.log(min(share, 0.99)))) + 2))
     sure_lift = next((n for n in range(chance, 1, -1) if sum(any(lifts[w] >= n for w in words) for words in first) > len(toxic) / 3), 1)
     bad = [w for words in first for w in words if lifts[w] >= sure_lift]
