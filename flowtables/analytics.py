@@ -75,9 +75,11 @@ def portfolio(positions: DataFrame, prices: DataFrame, account: str, symbol: str
 
 
 def breaches(exposures: DataFrame, limits: DataFrame, account: str) -> DataFrame:
-    """Each account's exposure and risk against its limits: BREACH where either is beyond, else OK."""
-    joined = exposures.join(limits, account)
-    return joined.withColumn("status", F.when((F.col("exposure") > F.col("max_notional")) | (F.abs("var") > F.col("max_var")), "BREACH").otherwise("OK"))
+    """Each account's exposure and risk against its limits: BREACH where either is beyond, UNKNOWN where neither is but one has no limit or no value, else OK."""
+    joined = exposures.join(limits, account, "left")
+    beyond = F.coalesce(F.col("exposure") > F.col("max_notional"), F.lit(False)) | F.coalesce(F.abs("var") > F.col("max_var"), F.lit(False))
+    known = F.col("exposure").isNotNull() & F.col("var").isNotNull() & F.col("max_notional").isNotNull() & F.col("max_var").isNotNull()
+    return joined.withColumn("status", F.when(beyond, "BREACH").when(~known, "UNKNOWN").otherwise("OK"))
 
 
 def alerts(df: DataFrame, kind: str, when: Column, ts: str, symbol: str, price: Column, volume: Column) -> DataFrame:

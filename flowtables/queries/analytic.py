@@ -132,12 +132,12 @@ def portfolio_exposure(spark, sf_dir):
 KIND = "case l_suppkey % 2 when 0 then 'click' else 'view' end"
 
 
-@query(f"""select l_suppkey, case when exposure > 500000000 + s_acctbal * 10000 or abs(v) > 0.9 then 'BREACH' else 'OK' end as status
-from ({PORTFOLIO}) join supplier on l_suppkey = s_suppkey join ({VAR}) on event_type = {KIND}""")
+@query(f"""select l_suppkey, case when exposure > 500000000 + s_acctbal * 10000 or abs(v) > 0.9 then 'BREACH' when s_acctbal is null or v is null then 'UNKNOWN' else 'OK' end as status
+from ({PORTFOLIO}) left join supplier on l_suppkey = s_suppkey left join ({VAR}) on event_type = {KIND}""")
 def limit_breach(spark, sf_dir):
     risk = analytics.value_at_risk(read_table(spark, sf_dir, "events"), "event_type", "value", LAST())
     limits = read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), (500_000_000 + F.col("s_acctbal") * 10_000).alias("max_notional"), F.lit(0.9).alias("max_var"))
-    exposed = portfolios(spark, sf_dir).withColumn("event_type", F.when(F.col("l_suppkey") % 2 == 0, "click").otherwise("view")).join(risk, "event_type")
+    exposed = portfolios(spark, sf_dir).withColumn("event_type", F.when(F.col("l_suppkey") % 2 == 0, "click").otherwise("view")).join(risk, "event_type", "left")
     return analytics.breaches(exposed, limits, "l_suppkey").select("l_suppkey", "status")
 
 

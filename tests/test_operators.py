@@ -284,3 +284,10 @@ def test_stream_is_like_batch(spark):
 def test_schema_without_a_run(spark):
     df = spark.createDataFrame([], "a long, b string")
     assert df.where("a > 0").select("b").schema.simpleString() == "struct<b:string>"
+
+
+def test_accounts_without_limit_or_risk_come_out(spark):
+    exposures = spark.createDataFrame([(1, 5.0, 0.1), (2, 50.0, None), (3, 5.0, None), (4, 5.0, 0.1), (5, 5.0, 0.9)], "a long, exposure double, var double")
+    limits = spark.createDataFrame([(1, 10.0, 0.5), (2, 10.0, 0.5), (3, 10.0, 0.5), (5, 10.0, 0.5)], "a long, max_notional double, max_var double")
+    got = {r.a: r.status for r in analytics.breaches(exposures, limits, "a").collect()}
+    assert got == {1: "OK", 2: "BREACH", 3: "UNKNOWN", 4: "UNKNOWN", 5: "BREACH"}
