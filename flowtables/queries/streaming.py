@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowtables import commits, sinks, streams, windows
+from flowtables import commits, deltas, sinks, streams, windows
 from flowtables.queries.base import query
+from flowtables.queries.relational import change_log
 from flowtables.tables import read_table, work_dir
 
 CLOSED = """select event_type, time_bucket(interval 1 hour, ts, timestamp '1970-01-01') as window_start, time_bucket(interval 1 hour, ts, timestamp '1970-01-01') + interval 1 hour as window_end,
@@ -104,3 +105,46 @@ def checkpoint_resume(spark, sf_dir):
         stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
         streams.run_available(stream, out.append_once, f"{root}/checkpoint")
     return out.read().select("event_id", "event_type", "value")
+
+
+def order_log(orders):
+    """Every order created, each fifth dearer, each fourth of these moved to another customer, each ninth deleted; lsn rises by kind of change."""
+    cents = F.col("o_totalprice").cast("decimal(18,2)")
+    made = orders.select(F.lit("I").alias("op"), F.col("o_orderkey").alias("lsn"), "o_orderkey", "o_custkey", "o_orderpriority", cents.alias("o_totalprice"))
+    moved = F.when(F.col("o_orderkey") % 4 == 0, 1).otherwise(F.col("o_custkey"))
+    dearer = made.where("o_orderkey % 5 = 0").select(F.lit("U"), F.col("lsn") + 10_000_000_000, "o_orderkey", moved, "o_orderpriority", (F.col("o_totalprice") + 100).cast("decimal(18,2)"))
+    gone = made.where("o_orderkey % 9 = 0").select(F.lit("D"), F.col("lsn") + 20_000_000_000, "o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
+    return made.union(dearer).union(gone)
+
+
+ORDERS_NOW = """select o_orderkey, o_orderpriority, case when o_orderkey % 5 = 0 and o_orderkey % 4 = 0 then 1 else o_custkey end as o_custkey,
+  cast(o_totalprice as decimal(18,2)) + case when o_orderkey % 5 = 0 then 100 else 0 end as o_totalprice from orders where o_orderkey % 9 != 0"""
+BATCHES = 3
+
+
+def dealt(log, key, number):
+    """A batch of a log: its rows by key and kind of change, so that many changes come before earlier ones of their key."""
+    return log.where((F.col(key) + F.floor(F.col("lsn") / 10_000_000_000)) % BATCHES == number)
+
+
+@query(f"""select o_orderkey, c_custkey, o_totalprice, case when c_custkey % 3 = 0 then c_name || '*' else c_name end as c_name
+from ({ORDERS_NOW}) join customer on o_custkey = c_custkey where c_custkey % 7 != 0""")
+def join_changes(spark, sf_dir):
+    join = deltas.ChangeJoin(spark, work_dir(spark), ["o_orderkey"], ["c_custkey"], [("o_custkey", "c_custkey")], "lsn")
+    orders, customers = order_log(read_table(spark, sf_dir, "orders")).drop("o_orderpriority"), change_log(read_table(spark, sf_dir, "customer")).drop("c_acctbal")
+    for number in range(BATCHES):
+        join.step(dealt(orders, "o_orderkey", number), dealt(customers, "c_custkey", number), number)
+    return join.result().select("o_orderkey", "c_custkey", "o_totalprice", "c_name")
+
+
+@query(f"""select o_orderpriority, count(*) as n, cast(sum(o_totalprice) as decimal(28,2)) as total, round(cast(avg(o_totalprice) as double), 4) as mean, min(o_totalprice) as low, max(o_totalprice) as high
+from ({ORDERS_NOW}) group by o_orderpriority""")
+def group_changes(spark, sf_dir):
+    root, log = work_dir(spark), order_log(read_table(spark, sf_dir, "orders"))
+    measures = {"n": ("count", "*"), "total": ("sum", "o_totalprice"), "mean": ("avg", "o_totalprice"), "low": ("min", "o_totalprice"), "high": ("max", "o_totalprice")}
+    group = deltas.ChangeGroup(spark, f"{root}/group", ["o_orderkey"], ["o_orderpriority"], measures, "lsn")
+    for number in range(BATCHES):
+        sinks.append(dealt(log, "o_orderkey", number).coalesce(1), f"{root}/in")
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    streams.run_available(stream, group.step, f"{root}/checkpoint")
+    return group.result().withColumn("mean", F.round(F.col("mean").cast("double"), 4))
