@@ -102,6 +102,14 @@ class Table:
     def has_batch(self, batch: str | int, writer: str = "") -> bool:
         return f"{writer}:{batch}" in {c.batch for c in self.commits()}
 
+    def before(self, batch: str | int, writer: str = "") -> int:
+        """The version that a batch begins with: the one before its commit if it has been taken, else the last."""
+        return next((c.version - 1 for c in self.commits() if c.batch == f"{writer}:{batch}"), self.version())
+
+    def read_or_empty(self, version: int, like: StructType) -> DataFrame:
+        """The columns of `like` as of a version; no rows before the first."""
+        return self.read(version).select(*like.names) if version >= 0 else self.spark.createDataFrame([], like)
+
     def _commit(self, folder: str, schema: StructType, *, mode: str, batch: str | None, delete: bool = False, key: tuple[str, ...] = (), expect: int | None = None) -> int:
         said = {"batch": batch, "mode": mode, "folder": folder, "delete": delete, "key": list(key), "schema": schema.json()}
         for _ in range(TRIES):
@@ -146,21 +154,18 @@ class Table:
         except BatchAlreadyCommitted:
             return None
 
-    def upsert(self, df: DataFrame, key: list[str], order: list[str], *, batch: str | int | None = None, writer: str = "", delete: str | None = None) -> int | None:
+    def upsert(self, df: DataFrame, key: list[str], order: list[str], *, batch: str | int | None = None, writer: str = "", delete: str | None = None, unique: bool = False) -> int | None:
         """Put in each key's last row by `order` and delete the rows of these keys that earlier commits hold; no old file is read or rewritten.
 
         Keys may be null: null is a key like others. Rows equal in key and order are ordered by all their columns, so the result does not
         depend on how they are dealt. Where the boolean column `delete` is true the key goes and no row comes in its place; the column is not kept.
+        With `unique` the caller vouches that `df` has each key once and is cheap to read twice, such as a written table; then nothing is shuffled.
         """
         name = None if batch is None else f"{writer}:{batch}"
         if name is not None and name in {c.batch for c in self.commits()}:
             return None
-        rest = [c for c in df.columns if c not in key]
-        at = F.struct(*order, *[c for c in sorted(rest) if c not in order])
-        last = df.groupBy(*key).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), at).alias("__last")) if rest else df.select(*key).distinct()
-        last = last.select(*key, "__last.*").select(*df.columns) if rest else last
-        folder = self._write(last, "all")
-        written = self.spark.read.schema(last.schema).parquet(f"{self.root}/data/{folder}/all")
+        folder = uuid.uuid4().hex
+        written = df if unique else self._last_rows(df, key, order, folder)
         kept = written.where(~F.coalesce(F.col(delete), F.lit(False))).drop(delete) if delete else written
         self._write(kept, "add", folder)
         self._write(written.select(*key), "gone", folder)
@@ -169,6 +174,15 @@ class Table:
         except BatchAlreadyCommitted:
             return None
 
+    def _last_rows(self, df: DataFrame, key: list[str], order: list[str], folder: str) -> DataFrame:
+        """Each key's last row, written."""
+        rest = [c for c in df.columns if c not in key]
+        at = F.struct(*order, *[c for c in sorted(rest) if c not in order])
+        last = df.groupBy(*key).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), at).alias("__last")) if rest else df.select(*key).distinct()
+        last = last.select(*key, "__last.*").select(*df.columns) if rest else last
+        self._write(last, "all", folder)
+        return self.spark.read.schema(last.schema).parquet(f"{self.root}/data/{folder}/all")
+
     def compact(self) -> int | None:
         """One commit with the rows of all; fails, without harm, if another writer commits meanwhile."""
         at = self.version()

@@ -39,20 +39,9 @@ class Side:
     def __init__(self, spark: SparkSession, root: str, key: Sequence[str], position: str, op: str = "op"):
         self.table, self.key, self.position, self.op = Table(spark, root), list(key), position, op
 
-    def _rows(self, like: StructType, version: int) -> DataFrame:
-        """The last row of each key as of a version; none before the first."""
-        if version < 0:
-            return self.table.spark.createDataFrame([], like)
-        return self.table.read(version).select(*like.names)
-
-    def before(self, batch: int) -> int:
-        """The version that a batch begins with, also when it is done again."""
-        done = [c.version for c in self.table.commits() if c.batch == f":{batch}"]
-        return done[0] - 1 if done else self.table.version()
-
     def current(self, like: StructType, version: int) -> DataFrame:
         """The rows that are not deleted, without op and position."""
-        return self._rows(like, version).where(F.col(self.op) != "D").drop(self.op, self.position)
+        return self.table.read_or_empty(version, like).where(F.col(self.op) != "D").drop(self.op, self.position)
 
     def moved(self, log: DataFrame, batch: int) -> DataFrame:
         """The keys whose last row a batch changes: `__last`, the row of the log, with `__old` and `__new`, the rows before and after, null where there is none."""
@@ -61,7 +50,7 @@ class Side:
         rest = [c for c in names if c not in self.key]
         order = F.struct(self.position, *[c for c in sorted(rest) if c != self.position])
         last = log.groupBy(*self.key).agg(F.max_by(F.struct(*names), order).alias("__last"))
-        held = self._rows(log.schema, self.before(batch)).select(F.struct(*names).alias("__held"))
+        held = self.table.read_or_empty(self.table.before(batch), log.schema).select(F.struct(*names).alias("__held"))
         both = last.join(held, same([F.col(k) for k in self.key], [F.col(f"__held.{k}") for k in self.key]), "left")
         newer = F.col("__held").isNull() | (F.col(f"__last.{self.position}") > F.col(f"__held.{self.position}"))
 
@@ -71,7 +60,7 @@ class Side:
         return both.where(newer).select("__last", row("__held").alias("__old"), row("__last").alias("__new"))
 
     def commit(self, moved: DataFrame, batch: int) -> None:
-        self.table.upsert(moved.select("__last.*"), self.key, [self.position], batch=batch)
+        self.table.upsert(moved.select("__last.*"), self.key, [self.position], batch=batch, unique=True)
 
 
 def signed(moved: DataFrame) -> DataFrame:
@@ -93,7 +82,7 @@ def as_changes(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return both.select(op.alias("op"), *keys, *[shown[v].alias(v) for v in values])
 
 
-class _Output:
+class ChangeOutput:
     """The change log that an operator puts out, a commit a batch."""
 
     out: Table
@@ -113,7 +102,7 @@ class _Output:
         return last.where("op != 'D'").drop("op", "batch")
 
 
-class ChangeJoin(_Output):
+class ChangeJoin(ChangeOutput):
     """The inner join of two change-captured tables on `on`, pairs of a left and a right column, as a change log.
 
     A batch joins what has changed on the left with the right table as it was, and the left table as it is with what has changed on the right, so
@@ -132,11 +121,11 @@ class ChangeJoin(_Output):
         if both := (set(left.columns) & set(right.columns)) - {self.left.op, self.left.position}:
             raise ValueError(f"columns on both sides: {sorted(both)}")
         spark, folder = left.sparkSession, work_dir(left.sparkSession)
-        was = self.right.before(batch)
+        was = self.right.table.before(batch)
         l_moved, r_moved = cut(self.left.moved(left, batch), folder), cut(self.right.moved(right, batch), folder)
         self.left.commit(l_moved, batch)
         self.right.commit(r_moved, batch)
-        now = self.left.before(batch) + 1
+        now = self.left.table.before(batch) + 1
         match = reduce(lambda a, b: a & b, [F.col(a) == F.col(b) for a, b in self.on])
         new_left = signed(l_moved).join(self.right.current(right.schema, was), match)
         new_right = self.left.current(left.schema, now).join(signed(r_moved), match)
@@ -144,7 +133,7 @@ class ChangeJoin(_Output):
         drop_path(spark, folder)
 
 
-class ChangeGroup(_Output):
+class ChangeGroup(ChangeOutput):
     """Counts, sums, averages, minima and maxima per group of a change-captured table, as a change log.
 
     `measures` says name: (kind, column) with kind count, sum, avg, min or max; count of "*" counts rows. Counts and sums follow from the signed
@@ -205,12 +194,10 @@ class ChangeGroup(_Output):
         spark, folder, keys = log.sparkSession, work_dir(log.sparkSession), self.keys
         moved = cut(self.side.moved(log, batch), folder)
         self.side.commit(moved, batch)
-        rows = self.side.current(log.schema, self.side.before(batch) + 1)
+        rows = self.side.current(log.schema, self.side.table.before(batch) + 1)
         whole = rows.groupBy(*keys).agg(*self._parts(F.lit(1)))
         names = whole.columns[len(keys):]
-        done = [c.version for c in self.state.commits() if c.batch == f":{batch}"]
-        at = done[0] - 1 if done else self.state.version()
-        held = self.state.read(at).select(*whole.columns) if at >= 0 else spark.createDataFrame([], whole.schema)
+        held = self.state.read_or_empty(self.state.before(batch), whole.schema)
         held = held.select(F.struct(*whole.columns).alias("__old"))
         delta = signed(moved).groupBy(*keys).agg(*self._parts(F.col(SIGN)), *self._again(log.schema))
         both = delta.join(held, same([F.col(k) for k in keys], [F.col(f"__old.{k}") for k in keys]), "left")
@@ -233,11 +220,11 @@ class ChangeGroup(_Output):
         fresh = reread.select(*[F.col(k).alias(f"__{k}") for k in keys], F.struct(*names).alias("__fresh"))
         final = cut(stepped.join(fresh, match, "left").select(*keys, "__old", F.coalesce("__fresh", "__new").alias("__new")), folder)
         kept = final.select(*keys, "__new.*", (F.col("__new.__rows") <= 0).alias("__gone"))
-        self.state.upsert(kept, keys, ["__rows"], batch=batch, delete="__gone")
+        self.state.upsert(kept, keys, ["__rows"], batch=batch, delete="__gone", unique=True)
         old, new = final.where("__old is not null"), final.where("__new.__rows > 0")
         out = old.select(F.lit(-1).alias(SIGN), *keys, *self._shown("__old")).union(new.select(F.lit(1).alias(SIGN), *keys, *self._shown("__new")))
         self._put(as_changes(out, keys), batch)
         drop_path(spark, folder)
 
 
-__all__ = ["ChangeGroup", "ChangeJoin", "Side", "as_changes", "signed"]
+__all__ = ["ChangeGroup", "ChangeJoin", "ChangeOutput", "Side", "as_changes", "signed"]

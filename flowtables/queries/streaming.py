@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowtables import commits, deltas, sinks, streams, windows
+from flowtables import commits, deltas, live, sinks, streams, windows
 from flowtables.queries.base import query
 from flowtables.queries.relational import change_log
+from flowtables.queries.windowed import ARRIVED, ORIGIN, arrived
 from flowtables.tables import read_table, work_dir
 
 CLOSED = """select event_type, time_bucket(interval 1 hour, ts, timestamp '1970-01-01') as window_start, time_bucket(interval 1 hour, ts, timestamp '1970-01-01') + interval 1 hour as window_end,
@@ -127,6 +128,14 @@ def dealt(log, key, number):
     return log.where((F.col(key) + F.floor(F.col("lsn") / 10_000_000_000)) % BATCHES == number)
 
 
+def drops(spark, parts, each, root, prepare=lambda stream: stream, mode="append"):
+    """Each part is dropped into a folder, and a stream of the folder goes on where it ended with the part before."""
+    for part in parts:
+        sinks.append(part, f"{root}/in")
+        stream = spark.readStream.schema(part.schema).parquet(f"{root}/in")
+        streams.run_available(prepare(stream), each, f"{root}/checkpoint", mode)
+
+
 @query(f"""select o_orderkey, c_custkey, o_totalprice, case when c_custkey % 3 = 0 then c_name || '*' else c_name end as c_name
 from ({ORDERS_NOW}) join customer on o_custkey = c_custkey where c_custkey % 7 != 0""")
 def join_changes(spark, sf_dir):
@@ -143,8 +152,79 @@ def group_changes(spark, sf_dir):
     root, log = work_dir(spark), order_log(read_table(spark, sf_dir, "orders"))
     measures = {"n": ("count", "*"), "total": ("sum", "o_totalprice"), "mean": ("avg", "o_totalprice"), "low": ("min", "o_totalprice"), "high": ("max", "o_totalprice")}
     group = deltas.ChangeGroup(spark, f"{root}/group", ["o_orderkey"], ["o_orderpriority"], measures, "lsn")
-    for number in range(BATCHES):
-        sinks.append(dealt(log, "o_orderkey", number).coalesce(1), f"{root}/in")
-    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-    streams.run_available(stream, group.step, f"{root}/checkpoint")
+    drops(spark, [dealt(log, "o_orderkey", number) for number in range(BATCHES)], group.step, root)
     return group.result().withColumn("mean", F.round(F.col("mean").cast("double"), 4))
+
+
+def thirds(rows):
+    """Rows with a place `pos` in three parts of equal size, as they came."""
+    size = rows.count()
+    return [rows.where(F.floor(F.col("pos") * BATCHES / size) == number) for number in range(BATCHES)]
+
+
+LIVE = f"""with a as (select *, pos * {BATCHES} // count(*) over () as batch from ({ARRIVED})),
+b as (select batch, max(ts) as top from a group by batch), w as (select batch, max(top) over (order by batch rows between unbounded preceding and 1 preceding) - interval 10 minute as watermark from b),
+l as (select event_id, ts, a.batch, watermark, coalesce(time_bucket(interval 1 hour, ts, {ORIGIN}) + interval 1 hour <= watermark, false) as late from a join w using (batch))"""
+
+
+def lateness(spark, sf_dir):
+    """The events as they came, split by a stream's own watermark, ten minutes behind, into rows on time and late ones."""
+    root = work_dir(spark)
+    split = live.Lateness(spark, f"{root}/late", "ts", delay="10 minutes", closes=windows.end_of("ts", "1 hour"))
+    drops(spark, thirds(arrived(spark, sf_dir).select("event_id", "ts", "pos")), split.step, root)
+    return split
+
+
+@query(f"{LIVE} select event_id, ts, late from l")
+def late_side_output(spark, sf_dir):
+    split = lateness(spark, sf_dir)
+    return split.on_time.read().select("event_id", "ts", F.lit(False).alias("late")).union(split.late.read().select("event_id", "ts", F.lit(True)))
+
+
+@query(f"{LIVE} select batch, count(*) as n, count_if(not late) as on_time, count_if(late) as late, max(ts) as top, max(watermark) as watermark from l group by batch")
+def stream_progress(spark, sf_dir):
+    return lateness(spark, sf_dir).progress.read().select("batch", "n", "on_time", "late", "top", "watermark")
+
+
+@query(f"""with a as ({ARRIVED}), c as (select pos // 50 as s, max(ts) as top from a group by 1),
+w as (select s, max(top) over (order by s rows between unbounded preceding and 1 preceding) as watermark from c)
+select event_id, ts, watermark, coalesce(ts <= watermark, false) as late from a join w on pos // 50 = s""")
+def wm_live(spark, sf_dir):
+    # the producer sends the largest time of every fifty rows after them, as a row of its own; places are doubled to make room
+    root, rows = work_dir(spark), arrived(spark, sf_dir).select("event_id", "ts", "pos")
+    control = rows.groupBy(F.floor(F.col("pos") / 50).alias("s")).agg(F.max("ts").alias("sent")).select((F.col("s") * 100 + 99).alias("place"), "sent")
+    parts = thirds(rows.select("event_id", "ts", "pos", (F.col("pos") * 2).alias("place")).unionByName(control.withColumn("pos", F.floor(F.col("place") / 2)), allowMissingColumns=True))
+    split = live.Lateness(spark, f"{root}/late", "ts", sent="sent", pos="place")
+    drops(spark, parts, split.step, root)
+    names = ["event_id", "ts", "watermark"]
+    return split.on_time.read().select(*names, F.lit(False).alias("late")).union(split.late.read().select(*names, F.lit(True)))
+
+
+@query("""select user_id, min(ts) as window_start, max(ts) + interval 3 hour as window_end, count(*) as n, max(value) as high from
+(select *, sum(fresh) over (partition by user_id order by ts, event_id) as s from
+ (select *, case when ts - lag(ts) over (partition by user_id order by ts, event_id) <= interval 3 hour then 0 else 1 end as fresh from events)) group by user_id, s""")
+def session_changes(spark, sf_dir):
+    # neighbours in time come in different batches, so sessions grow, meet and are taken back
+    root, rows = work_dir(spark), read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    sessions = live.SessionChanges(spark, f"{root}/sessions", "ts", "3 hours", ["user_id"], {"n": ("count", "value"), "high": ("max", "value")})
+    drops(spark, [rows.where(F.col("event_id") % BATCHES == number) for number in range(BATCHES)], sessions.step, root)
+    return sessions.result().select("user_id", "window_start", "window_end", "n", "high")
+
+
+@query("""select event_type, event_id, value, back from
+(select event_type, event_id, value, row_number() over (partition by event_type order by ts desc, event_id desc) as back from events) where back <= 20""")
+def replay_buffer(spark, sf_dir):
+    root, rows = work_dir(spark), read_table(spark, sf_dir, "events").select("event_type", "event_id", "ts", "value")
+    last = live.LastRows(spark, f"{root}/last", ["event_type"], ["ts", "event_id"], 20)
+    drops(spark, [rows.where(F.col("event_id") % BATCHES == number) for number in range(BATCHES)], last.step, root)
+    return last.read().select("event_type", "event_id", "value", "back")
+
+
+@query(CLOSED)
+def resume_windows(spark, sf_dir):
+    # the stream stops in the middle of the table and goes on from its checkpoint with the windows that were open
+    root, rows = work_dir(spark), read_table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    half = rows.count() // 2
+    out = commits.Table(spark, f"{root}/out")
+    drops(spark, [rows.where(F.col("event_id") < half), rows.where(F.col("event_id") >= half)], lambda b, n: out.append_once(b.withColumn("batch", F.lit(n)), n), root, hourly, "update")
+    return untimed(streams.latest(out.read(), ["event_type", "window_start", "window_end"]), "window_start", "window_end")

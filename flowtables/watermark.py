@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowtables.ordered import positions, running_max
+from flowtables.windows import end_of
 
 
 def assign(df: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
@@ -46,7 +47,7 @@ def punctuated(df: DataFrame, ts: str, every: int, pos: str = "pos", block: int
 def late_for_window(df: DataFrame, ts: str, size: str, pos: str = "pos", block: int = 1000) -> DataFrame:
     """`df` with the watermark of a delay of zero before the row, and `late`: whether the row's tumbling window was closed by it."""
     rows = running_max(df, ts, "watermark", pos, block)
-    closed = F.window(ts, size)["end"] <= F.col("watermark")
+    closed = end_of(ts, size) <= F.col("watermark")
     return rows.withColumn("late", F.coalesce(closed, F.lit(False)))
 
 

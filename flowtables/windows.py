@@ -31,6 +31,12 @@ def _named(grouped: DataFrame, keys: Sequence[str]) -> DataFrame:
     return grouped.select(*keys, F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"), *[c for c in grouped.columns if c not in ("__w", *keys)])
 
 
+def end_of(ts: str, size: str) -> Column:
+    """When the tumbling window of a row ends; null without a time (a bare window expression would drop such rows)."""
+    there = F.coalesce(F.col(ts), F.expr("timestamp_ntz'1970-01-01'"))
+    return F.when(F.col(ts).isNotNull(), F.window(there, _spelt(size))["end"])
+
+
 def tumble(df: DataFrame, ts: str, *, size: str, keys: Sequence[str] = (), aggs: Sequence[Column]) -> DataFrame:
     """Aggregates per key and window of `size`; windows start at multiples of `size` since the epoch.
 

@@ -219,6 +219,12 @@ def test_late_rows(spark):
     assert [r.late for r in watermark.late_for_window(df, "ts", "3 seconds").orderBy("pos").collect()] == [False, False, False, False, False, True]
 
 
+def test_rows_without_a_time_are_not_late(spark):
+    rows = [(0, dt(2024, 1, 1, 5)), (1, None), (2, dt(2024, 1, 1, 1))]
+    got = watermark.late_for_window(spark.createDataFrame(rows, "pos long, ts timestamp_ntz"), "ts", "1 hour").collect()
+    assert sorted((r.pos, r.late) for r in got) == [(0, False), (1, False), (2, True)]
+
+
 def test_ema_is_sequential(spark):
     values = [3.0, -1.0, 4.0, 1.5, 9.0]
     df = spark.createDataFrame([("a", i, v) for i, v in enumerate(values)], "k string, i long, v double")
