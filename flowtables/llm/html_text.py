@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 
 from flowtables.llm.common import slices
 
-MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'"<>])*+)>|<[!?][^>]*+>""", re.S)
-NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+# Quotes count only where a value begins, as in HTML: an unquoted value may hold them. Comments also end at "--!>", and "<!-->" is one.
+VALUE = r"""=\s*+(?:"[^"]*+"|'[^']*+'|[^\s<>"'][^\s<>]*+)?+"""
+MARKUP = re.compile(rf"""<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>=]++|{VALUE})*+)>|<[!?][^>]*+>""", re.S)
+NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))""", re.I)
 BREAKS = frozenset("address article aside blockquote body button center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html iframe legend li main nav noscript ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "title", "template", "textarea", "svg")}
@@ -276,10 +278,10 @@ def learn(samples: list[str], made: int = MADE_PAGES) -> Field:
 
 
 def fit(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html", sample_pages: int = SAMPLE_PAGES, sample_chars: int = 50_000) -> Field:
-    """A field learned from at most `sample_pages` pages of at most `sample_chars` characters, by a hash of the id."""
+    """A field learned from at most `sample_pages` pages of at most `sample_chars` characters, by a hash of the id; of rows that repeat an id, by the page."""
     rows = pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")).where(F.length("html").between(1, sample_chars))
     ids = rows.select("id").where("id is not null").orderBy(F.xxhash64("id"), "id").limit(sample_pages)
-    sample = rows.join(F.broadcast(ids.distinct()), "id", "left_semi").toPandas().sort_values(["id", "html"])
+    sample = rows.join(F.broadcast(ids.distinct()), "id", "left_semi").orderBy(F.xxhash64("id"), "id", "html").limit(sample_pages).toPandas().sort_values(["id", "html"])
     return learn(sample.html.tolist())
 
 

@@ -59,6 +59,32 @@ def test_made_pages_held_out(field):
     assert right / total > 0.93
 
 
+@pytest.mark.parametrize(
+    "page,texts",
+    [
+        ("<p title=don't>Hello</p><p>more</p>", ["Hello", "more"]),
+        ("<div class=it's>In</div><p title='a>b'>Out</p>", ["In", "Out"]),
+        ('<p title="x > y" data-a=1/2 hidden>Text</p>', ["Text"]),
+        ('<p title="open>Text</p><p>more</p>', ["Text", "more"]),
+        ("<p title= >Text</p>", ["Text"]),
+        ("<p>one<!-- c --!>two</p><article><p>three", ["onetwo", "three"]),
+        ("<p>one<!-->two<!--->three<!-- - -- >four-->five</p>", ["onetwothreefive"]),
+        ("<p>1 < 2 and a <b c", ["1 < 2 and a <b c"]),
+    ],
+)
+def test_quotes_and_comments(page, texts):
+    assert [t for _, t, _ in H.blocks(page)] == texts
+
+
+def test_fit_is_bounded_by_rows(spark):
+    pages = spark.range(400).selectExpr("cast(7 as long) as page_id", "concat('<article><p>Page number ', id, ', with a text.</p></article>') as html")
+    seen = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(H, "learn", lambda found: seen.append(len(found)))
+        H.fit(pages, sample_pages=50)
+    assert seen == [50]
+
+
 def test_extract(spark, field):
     page = '<html><body><header><h1>Site</h1></header><div class="cookie-notice">We use cookies.</div><main><h1>Title here</h1><p>First para &amp; more,\n with text.</p><div class="ad">Buy now!</div><p>Second para is a longer one, yes.</p><section class="comments"><p>I like this a lot, thanks.</p></section></main><aside><p>Related text here.</p></aside><form><label>Mail</label></form><footer>&copy; x</footer></body></html>'
     want = "Title here\nFirst para & more, with text.\nSecond para is a longer one, yes."
