@@ -109,13 +109,16 @@ def _samples(batches):
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = SAMPLE_PER_LANG) -> ByteNet | None:
     """A network trained on at most `per_lang` texts of each language (by a hash of the id), WINDOWS_PER_TEXT windows of each.
 
-    Rows without text or language are not learned from; None if no row is left.
+    Where rows repeat an id, as many windows are taken in all, by the hash of the id and their bytes. Rows without text or language are not learned from; None if no row is left.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text rlike '[^\\\\s]'")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     # ranked without the texts, in tasks first (a window limit), so that a frequent language is cut down before it moves
     chosen = rows.select("doc_id", "lang").withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_lang).select("doc_id", "lang").distinct()
-    pieces = rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").mapInArrow(_samples, "doc_id long, lang string, piece binary").toPandas()
+    pieces = rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").mapInArrow(_samples, "doc_id long, lang string, piece binary")
+    # never cuts where ids are unique; rows that repeat an id are bounded by it
+    few = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "piece")
+    pieces = pieces.withColumn("r", F.row_number().over(few)).where(F.col("r") <= per_lang * WINDOWS_PER_TEXT).drop("r").toPandas()
     if not len(pieces):
         return None
     pieces = pieces.sort_values(["doc_id", "lang", "piece"])

@@ -120,6 +120,14 @@ def test_language_rows(spark):
     assert L.predict(df.where("doc_id > 9"), net).collect() == []
 
 
+def test_language_fit_is_bounded_by_rows(spark, monkeypatch):
+    docs = spark.range(200).selectExpr("cast(7 as long) as doc_id", "if(id % 2 = 0, 'en', 'de') as lang", "concat('a text of some words, number ', id) as text")
+    seen = []
+    monkeypatch.setattr(L.ByteNet, "fit", lambda self, x, y: seen.append(np.bincount(y).tolist()))
+    L.fit(docs, per_lang=5)
+    assert seen == [[5 * L.WINDOWS_PER_TEXT] * 2]
+
+
 def test_quality_against_brute_force(spark):
     rows = docs(spark)
     good = {r.doc_id for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").where("quality = 1").collect()}
