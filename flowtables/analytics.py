@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from flowtables.ordered import over_rows
 
@@ -50,6 +52,15 @@ def value_at_risk(df: DataFrame, key: str, value: str, order: Sequence[Column],
     return _last_returns(df, key, value, order, prices).groupBy(key).agg(F.percentile("ret", share).alias("var"), F.count("*").alias("__n")).where(F.col("__n") >= least - 1).drop("__n")
 
 
+def key_pairs(df: DataFrame, key: str, most: int = 1000) -> DataFrame:
+    """a, b: every pair a < b of the key's values, without null. The keys are listed on the driver; more than `most` are an error, never cut."""
+    found = sorted(r[0] for r in df.where(F.col(key).isNotNull()).select(key).distinct().limit(most + 1).collect())  # most + 1 values at most
+    if len(found) > most:
+        raise ValueError(f"{key} has more than {most} values")
+    kind = df.schema[key].dataType
+    return df.sparkSession.createDataFrame(list(combinations(found, 2)), StructType([StructField("a", kind), StructField("b", kind)]))
+
+
 def correlations(df: DataFrame, pairs: DataFrame, key: str, value: str, order: Sequence[Column], *, prices: int = 30) -> DataFrame:
     """a, b and corr of the returns between the last `prices` prices, matched from the last on.
 

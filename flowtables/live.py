@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, StructType
 
 from flowtables import windows
 from flowtables.commits import Table
@@ -143,3 +143,31 @@ class LastRows:
 
 
 __all__ = ["LastRows", "Lateness", "SessionChanges"]
+
+
+class Lookup:
+    """The rows of a stream with the columns of a reference table that changes, each batch as of one version of it, in `out` with the version used.
+
+    The version is the reference's last one when the batch first comes and is written down before the join, so a batch that is done
+    again gets the same rows. `like` is the reference's schema, as it may have no version yet. Rows without a match, null keys among
+    them, stay with nulls; a key that the reference has several times gives a row for each.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, reference: Table, like: StructType, on: Sequence[str]):
+        self.reference, self.like, self.on = reference, like, list(on)
+        self.out, self.pins = Table(spark, f"{root}/out"), Table(spark, f"{root}/pins")
+
+    def pinned(self, number: int) -> int:
+        """The version of the reference that a batch is joined with."""
+        pin = self.pins.spark.createDataFrame([(number, self.reference.version())], "batch long, version long")
+        self.pins.append_once(pin, number)
+        return self.pins.read().where(F.col("batch") == number).first()["version"]  # one row
+
+    def step(self, batch: DataFrame, number: int) -> None:
+        if self.out.has_batch(number):
+            return
+        if clash := [c for c in (*self.like.names, "version") if c in batch.columns and c not in self.on]:
+            raise ValueError(f"both sides have {', '.join(clash)}")
+        at = self.pinned(number)
+        joined = batch.join(self.reference.read_or_empty(at, self.like), self.on, "left")
+        self.out.append_once(joined.withColumn("version", F.lit(at).cast("long")), number)

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import functions as F
 
-from flowtables import aggregates, analytics
+from flowtables import accumulate, aggregates, analytics
 from flowtables.ordered import positions
 from flowtables.queries.base import query
 from flowtables.streams import as_of, replay
@@ -54,15 +52,13 @@ def var_95(spark, sf_dir):
     return analytics.value_at_risk(read_table(spark, sf_dir, "events"), "event_type", "value", LAST()).select("event_type", F.round("var", 8).alias("var"))
 
 
-PAIRS = [("click", "view"), ("click", "purchase"), ("error", "view"), ("purchase", "signup"), ("error", "signup")]
-WANTED = "select * from (values " + ", ".join(f"('{a}', '{b}')" for a, b in PAIRS) + ") t(a, b)"
-CORR = f"""select p.a, p.b, corr(x.ret, y.ret) as corr from ({WANTED}) p join ({RETS.format(n=30)}) x on x.event_type = p.a join ({RETS.format(n=30)}) y on y.event_type = p.b and x.back = y.back
-where p.a in (select event_type from events group by 1 having count(*) >= 30) and p.b in (select event_type from events group by 1 having count(*) >= 30) group by p.a, p.b"""
+CORR = f"""select x.event_type as a, y.event_type as b, corr(x.ret, y.ret) as corr from ({RETS.format(n=30)}) x join ({RETS.format(n=30)}) y on x.back = y.back and x.event_type < y.event_type
+where x.event_type in (select event_type from events group by 1 having count(*) >= 30) and y.event_type in (select event_type from events group by 1 having count(*) >= 30) group by 1, 2"""
 
 
 def correlated(spark, sf_dir):
-    pairs = spark.createDataFrame(PAIRS, "a string, b string")
-    return analytics.correlations(read_table(spark, sf_dir, "events"), pairs, "event_type", "value", LAST())
+    events = read_table(spark, sf_dir, "events")
+    return analytics.correlations(events, analytics.key_pairs(events, "event_type"), "event_type", "value", LAST())
 
 
 @query(f"select a, b, round(corr, 8) as corr from ({CORR})")
@@ -70,30 +66,9 @@ def corr_matrix(spark, sf_dir):
     return correlated(spark, sf_dir).select("a", "b", F.round("corr", 8).alias("corr"))
 
 
-@query(f"select a, b, round(corr, 8) as corr from ({CORR}) where abs(corr) > 0.1")
+@query(f"select a, b, round(corr, 8) as corr from ({CORR}) where abs(corr) > 0.5")
 def corr_pairs(spark, sf_dir):
-    return correlated(spark, sf_dir).where(F.abs("corr") > 0.1).select("a", "b", F.round("corr", 8).alias("corr"))
-
-
-TYPES = ("click", "error", "purchase", "signup", "view")
-ALL_CORR = f"""select x.event_type as a, y.event_type as b, corr(x.ret, y.ret) as corr from ({RETS.format(n=30)}) x join ({RETS.format(n=30)}) y on x.back = y.back and x.event_type < y.event_type
-where x.event_type in (select event_type from events group by 1 having count(*) >= 30) and y.event_type in (select event_type from events group by 1 having count(*) >= 30) group by 1, 2"""
-
-
-def all_correlated(spark, sf_dir):
-    """Every pair of the event types, listed: the types are a bounded set, and no join of types with types is made."""
-    pairs = spark.createDataFrame(list(combinations(TYPES, 2)), "a string, b string")
-    return analytics.correlations(read_table(spark, sf_dir, "events"), pairs, "event_type", "value", LAST())
-
-
-@query(f"select a, b, round(corr, 8) as corr from ({ALL_CORR})")
-def corr_matrix_all(spark, sf_dir):
-    return all_correlated(spark, sf_dir).select("a", "b", F.round("corr", 8).alias("corr"))
-
-
-@query(f"select a, b, round(corr, 8) as corr from ({ALL_CORR}) where abs(corr) > 0.5")
-def corr_pairs_all(spark, sf_dir):
-    return analytics.high_correlations(all_correlated(spark, sf_dir)).select("a", "b", F.round("corr", 8).alias("corr"))
+    return analytics.high_correlations(correlated(spark, sf_dir)).select("a", "b", F.round("corr", 8).alias("corr"))
 
 
 def prices(spark, sf_dir):
@@ -159,6 +134,22 @@ def udaf_ema(spark, sf_dir):
     return rows.select("event_type", F.round("ema", 6).alias("ema"))
 
 
+GROWTH = "ln(1.01 / 0.99)"
+
+
+@query(f"""with b as (select event_type, ceil(ln(value) / {GROWTH}) as i, count(*) as n from events group by 1, 2),
+q as (select event_type, i, sum(n) over (partition by event_type order by i) as upto, sum(n) over (partition by event_type) as total from b),
+m as (select event_type, min(i) as i from q where upto > 0.5 * (total - 1) group by event_type)
+select event_type, round(avg(value), 6) as mean, round(any_value(exp(i * {GROWTH}) * 0.99), 6) as median,
+  round(list_reduce(list(value order by ts, event_id), lambda e, v: 0.1 * v + 0.9 * e), 6) as ema from events join m using (event_type) group by event_type""")
+def udaf_custom(spark, sf_dir):
+    # three aggregates written against accumulate, merge and evaluate, in one pass over the ordered rows
+    rows = read_table(spark, sf_dir, "events").select("event_type", "ts", "event_id", "value")
+    aggs = {"mean": accumulate.mean("value"), "median": accumulate.quantile("value", 0.5), "ema": accumulate.ema("value", 0.1)}
+    out = accumulate.aggregate(rows, ["event_type"], aggs, order=["ts", "event_id"], slot=F.date_trunc("hour", "ts"))
+    return out.select("event_type", *[F.round(c, 6).alias(c) for c in aggs])
+
+
 @query("select event_id, ts, value from events where ts <= timestamp '2024-01-10 12:00:00'")
 def as_of_time(spark, sf_dir):
     return as_of(read_table(spark, sf_dir, "events"), "ts", "2024-01-10 12:00:00").select("event_id", "ts", "value")

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowtables import aggregates
+from flowtables import aggregates, named, sinks
 from flowtables.analytics import alerts as alert_rows
 from flowtables.analytics import last_rows
 from flowtables.cdc import apply_changes
 from flowtables.queries.base import query
-from flowtables.tables import read_table
+from flowtables.tables import read_table, work_dir
 
 EV = ["event_id", "ts", "user_id", "event_type", "value"]
 
@@ -185,22 +185,34 @@ def argmax_key(spark, sf_dir):
     return means.agg(F.max_by("event_type", "a").alias("event_type"), F.round(F.max("a"), 6).alias("avg_value"))
 
 
+def named_streams(spark, sf_dir, name):
+    """Streams over the events, defined by name; `name` is run over the first half of the events and, from there on, over the other."""
+    root, rows = work_dir(spark), read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    made = named.Streams(spark, f"{root}/streams", {"events": rows.schema})
+    made.define("viewed", lambda events: events.where("event_type = 'view'"), ["events"])
+    made.define("purchases", lambda events: events.where("event_type = 'purchase'").select("user_id", "value"), ["events"])
+    made.define("spenders", lambda purchases: purchases.where("value > 5").groupBy("user_id").agg(F.count("*").alias("n"), F.sum("value").alias("total")), ["purchases"], ["user_id"])
+    made.define("users", lambda events: events.groupBy("user_id").agg(F.count("*").alias("n"), F.max("value").alias("high")), ["events"], ["user_id"])
+    for part in (0, 1):
+        sinks.append(rows.where(F.col("event_id") % 2 == part), f"{root}/in")
+        made.run(name, {"events": spark.readStream.schema(rows.schema).parquet(f"{root}/in")})
+    return made
+
+
 @query("select event_id, event_type, value from events where event_type = 'view' and value > 10")
 def stream_filter(spark, sf_dir):
-    return read_table(spark, sf_dir, "events").where("event_type = 'view' and value > 10").select("event_id", "event_type", "value")
+    return named_streams(spark, sf_dir, "viewed").ask("viewed", "value > 10").select("event_id", "event_type", "value")
 
 
 @query("""select user_id, count(*) as n, round(sum(value), 4) as total from
 (select user_id, value from events where event_type = 'purchase') where value > 5 group by user_id having count(*) > 1""")
 def stream_chain(spark, sf_dir):
-    purchases = read_table(spark, sf_dir, "events").where("event_type = 'purchase'").select("user_id", "value")
-    return purchases.where("value > 5").groupBy("user_id").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total")).where("n > 1")
+    return named_streams(spark, sf_dir, "spenders").ask("spenders", "n > 1").select("user_id", "n", F.round("total", 4).alias("total"))
 
 
 @query("select * from (select user_id, count(*) as n, max(value) as high from events group by user_id) as v where n > 60")
 def view_snapshot(spark, sf_dir):
-    view = read_table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("n"), F.max("value").alias("high"))
-    return view.where("n > 60")
+    return named_streams(spark, sf_dir, "users").ask("users", "n > 60").select("user_id", "n", "high")
 
 
 @query("select event_id, event_type, value, 'I' as op from events")

@@ -228,3 +228,27 @@ def resume_windows(spark, sf_dir):
     out = commits.Table(spark, f"{root}/out")
     drops(spark, [rows.where(F.col("event_id") < half), rows.where(F.col("event_id") >= half)], lambda b, n: out.append_once(b.withColumn("batch", F.lit(n)), n), root, hourly, "update")
     return untimed(streams.latest(out.read(), ["event_type", "window_start", "window_end"]), "window_start", "window_end")
+
+
+@query("""select o_orderkey, o_custkey, o_orderkey % 3 as version,
+  case when o_orderkey % 3 = 2 and o_custkey % 5 = 0 then null when o_orderkey % 3 > 0 and o_custkey % 4 = 0 then 'MOVED' else c_mktsegment end as c_mktsegment
+from orders left join customer on o_custkey = c_custkey""")
+def lookup_versions(spark, sf_dir):
+    # before the second batch of orders a quarter of the customers move, before the third a fifth of them go
+    root, orders = work_dir(spark), read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    customers = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    reference = commits.Table(spark, f"{root}/reference")
+    lookup = live.Lookup(spark, f"{root}/lookup", reference, customers.schema, ["o_custkey"])
+
+    def parts():
+        for number in range(BATCHES):
+            if number == 0:
+                reference.append(customers)
+            elif number == 1:
+                reference.upsert(customers.where("o_custkey % 4 = 0").withColumn("c_mktsegment", F.lit("MOVED")), ["o_custkey"], [])
+            else:
+                reference.upsert(customers.where("o_custkey % 5 = 0").withColumn("gone", F.lit(True)), ["o_custkey"], [], delete="gone")
+            yield orders.where(F.col("o_orderkey") % BATCHES == number)
+
+    drops(spark, parts(), lookup.step, root)
+    return lookup.out.read().select("o_orderkey", "o_custkey", "version", "c_mktsegment")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowtables import live, windows
+from flowtables.commits import Table
 from flowtables.tables import work_dir
 
 T0 = dt(2024, 1, 1)
@@ -131,3 +132,24 @@ def test_last_rows(spark):
         mine = sorted((r for r in come if r[1] == k), key=lambda r: (r[2] is not None, r[2] or T0, r[0], r[3]), reverse=True)
         want += [(*r, i + 1) for i, r in enumerate(mine[:3])]
     assert rows(last.read().select("id", "k", "ts", "v", "back")) == sorted(want, key=repr)
+
+
+def test_lookup_keeps_the_version_of_a_batch(spark, monkeypatch):
+    root, like = work_dir(spark), spark.createDataFrame([], "k string, r long").schema
+    reference = Table(spark, f"{root}/ref")
+    lookup = live.Lookup(spark, f"{root}/lookup", reference, like, ["k"])
+    batch = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id long, k string")
+    lookup.step(batch, 0)  # no version yet
+    reference.append(spark.createDataFrame([("a", 10), (None, 9)], like))
+    put = lookup.out.append_once
+    monkeypatch.setattr(lookup.out, "append_once", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        lookup.step(batch, 1)
+    monkeypatch.setattr(lookup.out, "append_once", put)
+    reference.upsert(spark.createDataFrame([("a", 20), ("b", 21)], like), ["k"], [])
+    for number in (1, 2, 1, 0):
+        lookup.step(batch, number)
+    got = {(r.version, r.id): r.r for r in lookup.out.read().collect()}
+    assert got == {(-1, 1): None, (-1, 2): None, (-1, 3): None, (0, 1): 10, (0, 2): None, (0, 3): None, (1, 1): 20, (1, 2): 21, (1, 3): None}
+    with pytest.raises(ValueError, match="both sides have r"):
+        lookup.step(batch.withColumnRenamed("id", "r"), 3)

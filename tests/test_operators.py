@@ -192,9 +192,9 @@ def test_rows_without_a_time_come_last(spark, tmp_path):
 def test_correlations_of_all_types(spark):
     sf_dir = "/root/testdata/sf0.1"
     types = sorted(r[0] for r in spark.read.parquet(f"{sf_dir}/events.parquet").select("event_type").distinct().collect())
-    matrix = {(r.a, r.b): r.corr for r in QUERIES["corr_matrix_all"](spark, sf_dir).collect()}
+    matrix = {(r.a, r.b): r.corr for r in QUERIES["corr_matrix"](spark, sf_dir).collect()}
     assert matrix.keys() == set(combinations(types, 2)) and len(matrix) == 10
-    high = {(r.a, r.b): r.corr for r in QUERIES["corr_pairs_all"](spark, sf_dir).collect()}
+    high = {(r.a, r.b): r.corr for r in QUERIES["corr_pairs"](spark, sf_dir).collect()}
     assert high == {p: c for p, c in matrix.items() if abs(c) > 0.5} and ("purchase", "view") in high
 
 
@@ -297,3 +297,16 @@ def test_accounts_without_limit_or_risk_come_out(spark):
     limits = spark.createDataFrame([(1, 10.0, 0.5), (2, 10.0, 0.5), (3, 10.0, 0.5), (5, 10.0, 0.5)], "a long, max_notional double, max_var double")
     got = {r.a: r.status for r in analytics.breaches(exposures, limits, "a").collect()}
     assert got == {1: "OK", 2: "BREACH", 3: "UNKNOWN", 4: "UNKNOWN", 5: "BREACH"}
+
+
+def test_correlated_pairs_of_the_tables_own_types(spark):
+    rows = [(k, i, {"a": 100 + i % 7, "b": 200 + 2 * (i % 7), "new": 50 + i * i % 5, "few": 1.0}[k]) for i in range(40) for k in ("a", "b", "new", "few") if k != "few" or i < 10]
+    df = spark.createDataFrame([(k, i, float(v)) for k, i, v in rows] + [(None, 1, 1.0)], "k string, i long, v double")
+    pairs = analytics.key_pairs(df, "k")
+    assert sorted(map(tuple, pairs.collect())) == [("a", "b"), ("a", "few"), ("a", "new"), ("b", "few"), ("b", "new"), ("few", "new")]
+    corr = analytics.correlations(df, pairs, "k", "v", [F.desc("i")])
+    assert {(r.a, r.b) for r in corr.collect()} == {("a", "b"), ("a", "new"), ("b", "new")}
+    assert [(r.a, r.b) for r in analytics.high_correlations(corr).collect()] == [("a", "b")]
+    assert analytics.key_pairs(df.where("false"), "k").collect() == []
+    with pytest.raises(ValueError, match="more than 3"):
+        analytics.key_pairs(df, "k", most=3)
