@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowtables.llm.common import LOWER, mix, slices, utf8
+from flowtables.tables import cut
 
 WIDTHS, FILTERS, LENGTH = (2, 3, 4), 12, 256
 SAMPLE_PER_LANG, WINDOWS_PER_TEXT = 600, 4
@@ -106,15 +107,29 @@ def _samples(batches):
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.binary()), strict=True)], ["doc_id", "lang", "piece"])
 
 
+def _least(rows: DataFrame, k: int) -> DataFrame:
+    """lang, doc_id: the k ids of each language with the least hashes `h`, of rows (lang, doc_id, h) without repeats.
+
+    Rows are counted by language and the first bits of the hash, 10 bits more each time, and those of later bins than the k-th row's go. What is left to
+    be ranked by language is k rows and a part in 2^20 of its rows.
+    """
+    for shift in (54, 44):
+        bins = rows.groupBy("lang", F.shiftright("h", shift).alias("b")).agg(F.count("*").alias("n"))
+        before = F.coalesce(F.sum("n").over(Window.partitionBy("lang").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        last = bins.withColumn("before", before).where(F.col("before") < k).groupBy("lang").agg(F.max("b").alias("last"))
+        rows = rows.join(F.broadcast(last), "lang").where(F.shiftright("h", shift) <= F.col("last")).drop("last")  # a row a language
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
+    return rows.withColumn("r", rank).where(F.col("r") <= k).select("lang", "doc_id")
+
+
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = SAMPLE_PER_LANG) -> ByteNet | None:
     """A network trained on at most `per_lang` texts of each language (by a hash of the id), WINDOWS_PER_TEXT windows of each.
 
     Where rows repeat an id, as many windows are taken in all, by the hash of the id and their bytes. Rows without text or language are not learned from; None if no row is left.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text rlike '[^\\\\s]'")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # ranked without the texts, in tasks first (a window limit), so that a frequent language is cut down before it moves
-    chosen = rows.select("doc_id", "lang").withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_lang).select("doc_id", "lang").distinct()
+    hashed = cut(rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("h")).distinct())
+    chosen = _least(hashed, per_lang)
     pieces = rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").mapInArrow(_samples, "doc_id long, lang string, piece binary")
     # never cuts where ids are unique; rows that repeat an id are bounded by it
     few = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "piece")

@@ -128,6 +128,17 @@ def test_language_fit_is_bounded_by_rows(spark, monkeypatch):
     assert seen == [[5 * L.WINDOWS_PER_TEXT] * 2]
 
 
+def test_least_hashes_of_each_language(spark):
+    rows = spark.range(3000).selectExpr("case when id % 10 = 0 then 'rare' when id = 7 then 'one' else 'en' end as lang", "id as doc_id", "xxhash64(id) as h")
+    more = rows.union(rows.where("doc_id < 50")).union(spark.range(5).selectExpr("'en'", "cast(null as long)", "xxhash64(cast(null as long))"))
+    for df in (rows, more.distinct(), more.where("false")):
+        want = {}
+        for lang, i, h in {tuple(r) for r in df.collect()}:
+            want.setdefault(lang, []).append((h, i))
+        got = sorted(map(tuple, L._least(df, 40).collect()), key=repr)
+        assert got == sorted(((lang, i) for lang, ids in want.items() for _, i in sorted(ids)[:40]), key=repr)
+
+
 def test_quality_against_brute_force(spark):
     rows = docs(spark)
     good = {r.doc_id for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").where("quality = 1").collect()}
