@@ -31,9 +31,14 @@ def crossover(df: DataFrame, key: str, value: str, *, short: int = 10, long: int
     return rows.withColumn("signal", F.when(F.col("pos") == long - 1, "HOLD").when(F.col("pos") >= long, crossed)).drop("__now", "__was")
 
 
+def _change(value: Column, before: Column) -> Column:
+    """The change as a share of `before`, a double; from zero it is infinite, or NaN if nothing changed, as IEEE 754 divides."""
+    return F.coalesce(F.try_divide(value - before, before), (value - before) * F.pow(before, F.lit(-1)))
+
+
 def returns(df: DataFrame, key: str, value: str, block: int = 10_000) -> DataFrame:
-    """`df` (with `pos`) with ret: the change from the key's row before as a share of it; null for the first."""
-    return over_rows(df, [key], reach=1, columns={"ret": lambda w: F.try_divide(F.col(value) - F.lag(value).over(w), F.lag(value).over(w))}, block=block)
+    """`df` (with `pos`) with ret: the change from the key's row before as a share of it, infinite or NaN from zero; null for the first."""
+    return over_rows(df, [key], reach=1, columns={"ret": lambda w: _change(F.col(value), F.lag(value).over(w))}, block=block)
 
 
 def last_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
@@ -44,7 +49,7 @@ def last_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: in
 def _last_returns(df: DataFrame, key: str, value: str, order: Sequence[Column], prices: int) -> DataFrame:
     rows = last_rows(df, [key], order, prices)
     before = F.lead(value).over(Window.partitionBy(key).orderBy("back"))
-    return rows.withColumn("ret", F.try_divide(F.col(value) - before, before)).where("ret is not null")
+    return rows.withColumn("ret", _change(F.col(value), before)).where("ret is not null")
 
 
 def value_at_risk(df: DataFrame, key: str, value: str, order: Sequence[Column], *, prices: int = 200, least: int = 20, share: float = 0.05) -> DataFrame:
@@ -74,8 +79,8 @@ def correlations(df: DataFrame, pairs: DataFrame, key: str, value: str, order: S
 
 
 def high_correlations(corr: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of `correlations` whose corr is beyond `threshold`, positive or negative."""
-    return corr.where(F.abs("corr") > threshold)
+    """The rows of `correlations` whose corr is beyond `threshold`, positive or negative; NaN is not."""
+    return corr.where((F.abs("corr") > threshold) & ~F.isnan("corr"))
 
 
 def portfolio(positions: DataFrame, prices: DataFrame, account: str, symbol: str) -> DataFrame:

@@ -1,15 +1,17 @@
 """Edges that the test tables do not show."""
 
+import math
 from datetime import datetime as dt
 from itertools import combinations
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from flowtables import analytics, cdc, commits, ingest, sinks, streams, types, watermark, windows
 from flowtables.aggregates import ema
 from flowtables.ordered import over_rows, positions, running_max
-from flowtables.queries import QUERIES
+from flowtables.queries import ORACLES, QUERIES
 from flowtables.tables import work_dir
 
 
@@ -189,6 +191,31 @@ def test_rows_without_a_time_come_last(spark, tmp_path):
     assert got[8] == pytest.approx((20 - order[7][3]) / order[7][3], abs=1e-7) and got[10] is None
 
 
+def test_returns_from_a_price_of_zero(spark, tmp_path):
+    values = {"a": [0.0, 5.0, 4.0, 0.0, 0.0, -1.0, -0.0, 2.0], "b": [3.0, None, 6.0]}
+    rows = [(k, 10 * n + i, dt(2024, 1, 1, i), v) for n, (k, vs) in enumerate(values.items()) for i, v in enumerate(vs)]
+    spark.createDataFrame(rows, "event_type string, event_id long, ts timestamp_ntz, value double").write.parquet(f"{tmp_path}/events.parquet")
+    got = {r.event_id: r.ret for r in QUERIES["returns"](spark, str(tmp_path)).collect()}
+    assert repr([got[i] for i in range(8)]) == repr([None, math.inf, -0.2, -1.0, math.nan, -math.inf, -1.0, -math.inf])
+    assert [got[10 + i] for i in range(3)] == [None] * 3
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    assert repr(got) == repr({i: got[i] for i in got} | dict(con.execute(ORACLES["returns"]).fetchall()))
+
+
+def test_risk_counts_returns_from_a_price_of_zero(spark):
+    # 20 prices give 19 returns, one of them infinite
+    prices = [10.0, 0.0, 10.0] + [10.0 + i for i in range(1, 18)]
+    df = spark.createDataFrame([("a", i, v) for i, v in enumerate(prices)] + [("b", i, float(i * i % 7 + 1)) for i in range(20)], "k string, i long, v double")
+    rets = sorted(math.inf if not a else (b - a) / a for a, b in zip(prices, prices[1:], strict=False))
+    got = {r.k: r["var"] for r in analytics.value_at_risk(df, "k", "v", [F.desc("i")]).collect()}
+    assert got.keys() == {"a", "b"} and got["a"] == pytest.approx(0.1 * rets[0] + 0.9 * rets[1])
+    # such a key stays in the matrix, though its correlation has no value, which is none beyond the limit either
+    corr = analytics.correlations(df, analytics.key_pairs(df, "k"), "k", "v", [F.desc("i")], prices=20)
+    assert [(r.a, r.b, math.isnan(r.corr)) for r in corr.collect()] == [("a", "b", True)]
+    assert analytics.high_correlations(corr).count() == 0
+
+
 def test_correlations_of_all_types(spark):
     sf_dir = "/root/testdata/sf0.1"
     types = sorted(r[0] for r in spark.read.parquet(f"{sf_dir}/events.parquet").select("event_type").distinct().collect())
