@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
@@ -67,7 +68,7 @@ def key_pairs(df: DataFrame, key: str, most: int = 1000) -> DataFrame:
 
 
 def correlations(df: DataFrame, pairs: DataFrame, key: str, value: str, order: Sequence[Column], *, prices: int = 30) -> DataFrame:
-    """a, b and corr of the returns between the last `prices` prices, matched from the last on.
+    """a, b and corr of the returns between the last `prices` prices, matched from the last on; NaN where the returns of either do not vary.
 
     Only the pairs of keys in `pairs` (a, b) are computed, of keys with that many prices; never all pairs of keys.
     """
@@ -75,7 +76,9 @@ def correlations(df: DataFrame, pairs: DataFrame, key: str, value: str, order: S
     full = rets.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") == prices - 1).select(key)
     rets = rets.join(full, key)
     a, b = (rets.select(F.col(key).alias(x), "back", F.col("ret").alias(f"r{x}")) for x in "ab")
-    return pairs.join(a, "a").join(b, ["b", "back"]).groupBy("a", "b").agg(F.corr("ra", "rb").alias("corr"))
+    # F.corr fails the whole query where one key's returns are all the same
+    corr = F.try_divide(F.covar_pop("ra", "rb"), F.stddev_pop("ra") * F.stddev_pop("rb"))
+    return pairs.join(a, "a").join(b, ["b", "back"]).groupBy("a", "b").agg(F.coalesce(corr, F.lit(math.nan)).alias("corr"))
 
 
 def high_correlations(corr: DataFrame, threshold: float = 0.5) -> DataFrame:

@@ -216,6 +216,15 @@ def test_risk_counts_returns_from_a_price_of_zero(spark):
     assert analytics.high_correlations(corr).count() == 0
 
 
+def test_correlations_of_prices_that_stand_still(spark):
+    moves = {"a": [5.0] * 4, "b": [1.0, 2.0, 3.0, 5.0], "c": [4.0, 8.0, 12.0, 20.0]}
+    df = spark.createDataFrame([(k, i, v) for k, vs in moves.items() for i, v in enumerate(vs)], "k string, i long, v double")
+    corr = analytics.correlations(df, analytics.key_pairs(df, "k"), "k", "v", [F.desc("i")], prices=4)
+    got = {(r.a, r.b): r.corr for r in corr.collect()}
+    assert math.isnan(got["a", "b"]) and math.isnan(got["a", "c"]) and got["b", "c"] == pytest.approx(1)
+    assert [(r.a, r.b) for r in analytics.high_correlations(corr).collect()] == [("b", "c")]
+
+
 def test_correlations_of_all_types(spark):
     sf_dir = "/root/testdata/sf0.1"
     types = sorted(r[0] for r in spark.read.parquet(f"{sf_dir}/events.parquet").select("event_type").distinct().collect())
