@@ -109,6 +109,19 @@ def test_suffix_arrays():
                 assert found[i] == (best if best >= least else 0)
 
 
+def test_alternating_texts(spark):
+    # two texts that differ in a Thue-Morse pattern around a common middle: sums of powers modulo 2^64 by single bytes are the same
+    signs = np.ones(1, int)
+    for step in (1, 2, 4, 8, 16, 32, 64, 128, 384):
+        signs = np.concatenate([np.zeros(step, int), signs]) - np.concatenate([signs, np.zeros(step, int)])
+    middle = "pu nqmtsuu  vlkqovuprrvkqspv uqvksnnstvmvuokuupmlotokstmrpqksnrprlostoktqsmpvvosluno rvmt lnlnokvnvtmtullokpqsrpmrputtronprollkm"
+    docs = [(i, "".join("L" if c == sign else "0" for c in signs[:256]) + middle + "".join("L" if c == sign else "0" for c in signs[384:])) for i, sign in enumerate((1, -1))]
+    df = spark.createDataFrame([(i, t, 1, "x", "y", 2) for i, t in docs], SCHEMA)
+    for keep_first in (False, True):
+        assert got(R.without_repeats(df, keep_first=keep_first)) == brute(docs, 400, keep_first)
+    assert sum(r[2] for r in brute(docs, 400, False)) == 0
+
+
 def test_anchor_windows():
     rng = np.random.default_rng(2)
     for width in (1, 3, 10):
